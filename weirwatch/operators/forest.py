@@ -61,7 +61,7 @@ def feature_medians(features: DataFrame, columns: list[str] = REQUEST_FEATURES)
         *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns]
     )
     long = features.select(F.inline(pairs))
-    return exact_quantile(long, ["feature"], "value", 0.5, "median", levels=3)
+    return exact_quantile(long, ["feature"], "value", 0.5, "median", levels=2)
 
 
 def _vector(columns: list[str], medians: dict[str, float]) -> Column:
@@ -203,7 +203,7 @@ def fit_forest(
     forest = Forest(nodes, params, model_version)
     if contamination != "auto":
         training = raw_scores(features, forest).select(F.col("raw_decision_score").alias("s"))
-        cut = exact_quantile(training, [], "s", float(contamination), "cut", levels=3).first().cut
+        cut = exact_quantile(training, [], "s", float(contamination), "cut", levels=2).first().cut
         params = params.withColumn("score_offset", F.col("score_offset") + F.lit(float(cut)))
         forest = Forest(nodes, params, model_version)
     return forest

@@ -60,9 +60,13 @@ def _pick(rank: Column) -> tuple[Column, Column]:
     return holds, known
 
 
-def _locate(hist: DataFrame, keys: list[str], low_rank: Column, high_rank: Column) -> DataFrame:
+def _locate(
+    hist: DataFrame, keys: list[str], low_rank: Column, high_rank: Column, kept: list[str]
+) -> DataFrame:
     """Per group: the two rank values where known, else the bucket to open.
 
+    ``kept`` are columns that are the same in all rows of a group.
+
     The two ranks are equal or neighbours, so unless they share a bucket both
     lie on a bucket end. At most one bucket per group has to be opened.
     """
@@ -72,7 +76,7 @@ def _locate(hist: DataFrame, keys: list[str], low_rank: Column, high_rank: Colum
     return hist.groupBy(*keys).agg(
         F.max(F.when(holds_low, low)).alias("_qlow"),
         F.max(F.when(holds_high, high)).alias("_qhigh"),
-        F.max("_all").alias("_all"),
+        *[F.max(c).alias(c) for c in kept],
         F.max(F.when(open_here, F.col("_bucket"))).alias("_bucket"),
         F.max(F.when(open_here, F.col("_before"))).alias("_before"),
         F.max(F.when(open_here, F.col("_low"))).alias("_low"),
@@ -120,7 +124,7 @@ def exact_quantile(
     counted = rows.groupBy(*group, "_bucket").agg(
         F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
     )
-    found = _locate(_running(counted, group, "_bucket"), group, low_rank, high_rank)
+    found = _locate(_running(counted, group, "_bucket"), group, low_rank, high_rank, ["_all"])
     found = found.withColumns({"_rlow": low_rank, "_rhigh": high_rank})
     result = found.select(*group, "_all", "_qlow", "_qhigh")
 
@@ -163,8 +167,7 @@ def _narrow(inside: DataFrame, group: list[str], carried: list[str]) -> tuple[Da
     local = _running(counted, group, "_bucket").withColumns(
         {"_before": F.col("_before") + F.col("_base"), "_upto": F.col("_upto") + F.col("_base")}
     )
-    ranks = local.groupBy(*group).agg(*[F.max(c).alias(c) for c in carried])
-    found = _locate(local, group, F.col("_rlow"), F.col("_rhigh")).join(ranks, group)
+    found = _locate(local, group, F.col("_rlow"), F.col("_rhigh"), ["_rlow", "_rhigh"])
     opened = found.where(F.col("_bucket").isNotNull()).select(
         *group, "_bucket", F.col("_before").alias("_base"), "_low", "_high", "_rlow", "_rhigh"
     )
