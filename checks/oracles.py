@@ -498,6 +498,10 @@ def oracle_sql() -> dict[str, str]:
           FROM req GROUP BY endpoint_template""",
         "ip_window_features": f"{FEATURES} {FEATURE_SELECT}",
         "ip_window_features_1h": f"{BASE}, {ip_features(60)} {FEATURE_SELECT}",
+        "window_p95_distributed": f"""{FEATURES} SELECT {TS.format('ws')} AS window_start, ip_hash,
+          round(p95_latency_ms, 6) AS p95_latency_ms FROM feat""",
+        "price_median_distributed": """SELECT CASE WHEN l_partkey % 3 = 0 THEN 0 ELSE l_partkey % 50 END AS part_group,
+          round(quantile_cont(l_extendedprice, 0.5), 6) AS median FROM lineitem GROUP BY part_group""",
         "user_window_features": f"""WITH {EVENTS}, {APPS}, {USER_FEATURES}
           SELECT {TS.format('ws')} AS window_start, user_id_hash, {rounded(USER_COLUMNS)} FROM ufeat""",
         "feature_summary": f"""{FEATURES}, {APPS}, {USER_FEATURES} SELECT

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from weirwatch.fixed_values import REQUEST_FEATURES, THREAT_LEVELS
 from weirwatch.functions import casts, identity, urls
 from weirwatch.functions.paths import generalize_paths
+from weirwatch.functions.windows import window_start
 from weirwatch.operators import forest as forests
 from weirwatch.operators import window_features as wf
 from weirwatch.operators.dedupe import first_write_wins, last_write_wins
@@ -418,6 +419,30 @@ def ip_window_features_1h(spark, sf_dir):
     return printable(_features(spark, sf_dir, "1 hour"))
 
 
+@query
+def window_p95_distributed(spark, sf_dir):
+    """The window p95 as it is computed where the log is large."""
+    logs = adapter.request_logs(spark, sf_dir)
+    rows = logs.withColumn("window_start", window_start(F.col("timestamp")))
+    keys = ["window_start", "ip_hash"]
+    return printable(
+        exact_quantile(rows, keys, "latency_ms", 0.95, "p95_latency_ms", strategy="distributed")
+    )
+
+
+@query
+def price_median_distributed(spark, sf_dir):
+    """A median per group where one group holds a third of the rows."""
+    lines = table(spark, sf_dir, "lineitem").withColumn(
+        "part_group", F.when(F.col("l_partkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_partkey") % 50)
+    )
+    return printable(
+        exact_quantile(
+            lines, ["part_group"], "l_extendedprice", 0.5, "median", levels=2, strategy="distributed"
+        )
+    )
+
+
 @query
 def user_window_features(spark, sf_dir):
     return printable(wf.user_window_features(adapter.app_logs(spark, sf_dir)))

@@ -125,13 +125,15 @@ def window_features(
     window: str = FIVE_MINUTES,
     tz: str = "UTC",
     p95: str = "exact",
+    strategy: str = "auto",
     rarity: DataFrame | None = None,
 ) -> DataFrame:
     """One row per window and entity; rows without the entity are left out.
 
     ``rarity`` replaces the endpoint rarity of ``logs`` by a given table, for
     refreshing a few windows without a pass over the whole log. ``p95`` may be
-    ``approximate`` for the built-in sketch.
+    ``approximate`` for the built-in sketch; ``strategy`` is that of
+    :func:`exact_quantile`.
     """
     if p95 not in ("exact", "approximate"):
         raise ValueError(f"unknown p95: {p95}")
@@ -169,7 +171,9 @@ def window_features(
     features = detail.groupBy(*keys).agg(*final)
 
     if p95 == "exact":
-        tail = exact_quantile(rows, keys, spec.duration, 0.95, f"p95_{suffix}")
+        tail = exact_quantile(
+            rows, keys, spec.duration, 0.95, f"p95_{suffix}", strategy=strategy
+        )
     else:
         tail = rows.groupBy(*keys).agg(
             F.percentile_approx(duration, 0.95, 10_000).alias(f"p95_{suffix}")
