@@ -12,28 +12,29 @@ from pyspark.sql import functions as F
 from weirwatch.functions.casts import (
     first_present,
     latency_ms,
-    lenient_double,
     lenient_int,
     lenient_long,
     lenient_timestamp,
+    none_if_empty,
     status_family,
 )
 from weirwatch.functions.identity import hash_entity
 from weirwatch.functions.paths import generalize_paths
 from weirwatch.functions.urls import (
-    clean_path,
+    agent_family,
+    has_sensitive_key,
     has_sensitive_payload_key,
-    has_sensitive_query_key,
+    key_count,
     payload_key_count,
-    query_key_count,
-    user_agent_category,
+    query_keys,
+    with_clean_path,
 )
 from weirwatch.schemas import RAW_APP, RAW_REQUEST
 
 
-def _has_key(section: str, key: str) -> Column:
+def _has_key(text: str, section: str, key: str) -> Column:
     """Whether a section of the entry has a key, even with a null value."""
-    keys = F.json_object_keys(F.get_json_object("value", f"$.{section}"))
+    keys = F.json_object_keys(F.get_json_object(text, f"$.{section}"))
     return F.coalesce(F.array_contains(keys, key), F.lit(False))
 
 
@@ -42,16 +43,26 @@ def anonymize_requests(entries: DataFrame, salt: str, keep: tuple[str, ...] = ()
 
     ``keep`` names columns of the input to carry along, such as the load order.
     """
-    parsed = entries.select(
-        *keep,
-        F.from_json("value", RAW_REQUEST).alias("e"),
-        _has_key("protoPayload", "status").alias("own_status"),
-    )
     p, labels = F.col("e.protoPayload"), F.col("e.resource.labels")
-    status = lenient_int(
-        F.when(F.col("own_status"), p["status"]).otherwise(F.col("e.httpRequest.status"))
+    # The status falls back only where its key is absent. Entries with a value
+    # need no second look at the text.
+    status = (
+        F.when(p["status"].isNotNull(), p["status"])
+        .when(_has_key("value", "protoPayload", "status"), F.lit(None).cast("string"))
+        .otherwise(F.col("e.httpRequest.status"))
+    )
+    # Columns used more than once are made in steps of their own.
+    parsed = entries.select(*keep, "value", F.from_json("value", RAW_REQUEST).alias("e"))
+    parsed = parsed.select(
+        *keep,
+        "e",
+        lenient_int(status).alias("_status"),
+        query_keys(p["resource"]).alias("_keys"),
+        F.lower(none_if_empty(p["userAgent"])).alias("_agent"),
+        p["resource"].alias("_resource"),
     )
-    resource = p["resource"]
+    parsed = with_clean_path(parsed, "_resource", "_path")
+    status, keys = F.col("_status"), F.col("_keys")
     return parsed.select(
         *keep,
         lenient_timestamp(first_present(F.col("e.timestamp"), p["startTime"])).alias("timestamp"),
@@ -64,12 +75,12 @@ def anonymize_requests(entries: DataFrame, salt: str, keep: tuple[str, ...] = ()
         status_family(status).alias("status_family"),
         latency_ms(p["latency"]).alias("latency_ms"),
         lenient_long(p["responseSize"]).alias("response_size"),
-        clean_path(resource).alias("endpoint_path"),
-        query_key_count(resource).alias("query_key_count"),
-        has_sensitive_query_key(resource).alias("has_sensitive_query_key"),
+        F.col("_path").alias("endpoint_path"),
+        key_count(keys).alias("query_key_count"),
+        has_sensitive_key(keys).alias("has_sensitive_query_key"),
         hash_entity(p["host"], salt).alias("host_hash"),
         hash_entity(p["ip"], salt).alias("ip_hash"),
-        user_agent_category(p["userAgent"]).alias("user_agent_category"),
+        agent_family(F.col("_agent")).alias("user_agent_category"),
         hash_entity(p["userAgent"], salt).alias("user_agent_hash"),
         p["urlMapEntry"].alias("url_map_entry"),
         p["finished"].try_cast("boolean").alias("finished"),
@@ -92,7 +103,9 @@ def anonymize_app(entries: DataFrame, salt: str, keep: tuple[str, ...] = ()) ->
     )
     parsed = parsed.where(F.col("payload_keys").isNotNull() & F.col("e.jsonPayload").isNotNull())
     p, labels = F.col("e.jsonPayload"), F.col("e.resource.labels")
-    status = lenient_int(p["status"])
+    parsed = parsed.withColumns({"_status": lenient_int(p["status"]), "_resource": p["url"]})
+    parsed = with_clean_path(parsed, "_resource", "_path")
+    status = F.col("_status")
     return parsed.select(
         *keep,
         lenient_timestamp(first_present(F.col("e.timestamp"), p["timestamp"])).alias("timestamp"),
@@ -105,7 +118,7 @@ def anonymize_app(entries: DataFrame, salt: str, keep: tuple[str, ...] = ()) ->
         status.alias("status_code"),
         status_family(status).alias("status_family"),
         lenient_int(p["responseTime"]).cast("double").alias("response_time_ms"),
-        clean_path(p["url"]).alias("endpoint_path"),
+        F.col("_path").alias("endpoint_path"),
         hash_entity(p["userId"], salt).alias("user_id_hash"),
         hash_entity(p["shopId"], salt).alias("tenant_hash"),
         hash_entity(first_present(p["requestId"], F.col("e.insertId")), salt).alias("request_hash"),
