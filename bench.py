@@ -1,11 +1,11 @@
 """Time the headline jobs; prints one JSON line.
 
 BENCH_SF_DIR   table folder, default /root/testdata/sf0.1
-BENCH_CPUS     local cores, default 8
+BENCH_CPUS     local cores, default all
 BENCH_COPIES   times the log is repeated, each copy a day later, default 1
 
-Jobs read stored logs, as they do in production: the log is adapted and
-written once before the clock starts, which is timed as ``store_logs``.
+Jobs read stored logs and raw entries in several files, as they do in
+production. Adapting and writing the request log is timed as ``store_logs``.
 """
 
 from __future__ import annotations
@@ -31,9 +31,9 @@ from weirwatch.sources import raw
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    cpus = os.environ.get("BENCH_CPUS", "8")
+    cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count())
     copies = int(os.environ.get("BENCH_COPIES", "1"))
-    spark = local_session(cpus, app="bench", shuffle=int(cpus) if cpus.isdigit() else 8)
+    spark = local_session(cpus, app="bench", shuffle=int(cpus))
     times: dict[str, float] = {}
 
     def timed(name, job):
@@ -49,15 +49,16 @@ def main() -> None:
         if copies > 1:
             day = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
             df = df.withColumn("_d", day).withColumn("timestamp", F.col("timestamp") + F.make_dt_interval("_d"))
-            df = df.drop("_d").repartition(int(cpus) * 2)
-        return df
+            df = df.drop("_d")
+        return df.repartition(int(cpus) * (2 if copies > 1 else 1))
 
     # Start the engine and the Python workers before the clock runs.
     drain(spark.range(10).repartition(2).groupBy("id").count())
 
     logs = timed("store_logs", lambda: materialize(spread(adapter.request_logs(spark, sf_dir)), "logs"))
     apps = materialize(spread(adapter.app_logs(spark, sf_dir)), "apps")
-    timed("anonymize_requests", lambda: drain(raw.request_rows(adapter.raw_requests(spark, sf_dir), "salt")))
+    entries = materialize(adapter.raw_requests(spark, sf_dir).repartition(int(cpus)), "entries")
+    timed("anonymize_requests", lambda: drain(raw.request_rows(entries, "salt")))
     features = timed("ip_window_features", lambda: materialize(ip_window_features(logs), "features"))
     timed("user_window_features", lambda: drain(user_window_features(apps)))
     timed("profile_requests", lambda: drain(profile(logs, "request", "requests")))

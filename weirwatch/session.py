@@ -16,8 +16,14 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM does not compile methods beyond 8000 bytes; wide projections fall
+    # back to split methods, which it does compile.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Used by local sessions that name no folder.
+_local_root: str | None = None
+
 
 def ensure_session(spark: SparkSession) -> SparkSession:
     """Apply the settings to a session made elsewhere."""
@@ -49,13 +55,13 @@ def scratch_root(spark: SparkSession) -> str:
     fall back to a folder of its own; on a cluster a machine-local folder would
     vanish with its executor, so a missing setting is an error there.
     """
+    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
     if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="weirwatch-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        return root
+        _local_root = _local_root or tempfile.mkdtemp(prefix="weirwatch-")
+        return _local_root
     raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
 
 

@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from weirwatch.functions.windows import window_start
-from weirwatch.operators.window_features import FIVE_MINUTES, ip_window_features
+from weirwatch.operators.window_features import (
+    FIVE_MINUTES,
+    endpoint_rarity,
+    ip_window_features,
+)
 from weirwatch.session import materialize
 from weirwatch.sources.jsonl import is_json_object
 from weirwatch.sources.raw import request_rows
@@ -65,17 +69,17 @@ def refresh_windows(
     full rebuild is exact.
     """
     logs = read_table(spark, log_path)
-    # One value per window of a batch: a short list that prunes the days.
-    starts = [r.window_start for r in windows.collect()]
-    if not starts:
+    # One value per day of a batch: a short list that prunes the partitions.
+    days = [r.d for r in windows.select(F.to_date("window_start").alias("d")).distinct().collect()]
+    if not days:
         return 0
-    days = sorted({s.date() for s in starts})
-    inside = logs.where(
-        F.col(DAY).isin(days) & window_start(F.col("timestamp"), window).isin(starts)
+    inside = (
+        logs.where(F.col(DAY).isin(days))
+        .withColumn("window_start", window_start(F.col("timestamp"), window))
+        .join(windows, "window_start", "left_semi")
+        .drop("window_start")
     )
     if rarity is None:
-        from weirwatch.operators.window_features import endpoint_rarity
-
         rarity = endpoint_rarity(logs)
     features = with_day(ip_window_features(inside, window, rarity=rarity), "window_start")
     return upsert(
