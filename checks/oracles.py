@@ -604,5 +604,5 @@ def oracle_sql() -> dict[str, str]:
             WHEN k % 10 = 2 THEN 'blank' ELSE 'entry' END AS kind FROM t)
           SELECT kind, count(*) AS lines FROM lines WHERE kind <> 'blank' GROUP BY kind""",
         "streaming_ip_windows": f"{FEATURES} {FEATURE_SELECT}",
-        "pipeline_feature_table": f"{FEATURES} {FEATURE_SELECT}",
+        "stored_feature_table": f"{FEATURES} {FEATURE_SELECT}",
     }

@@ -678,14 +678,14 @@ def _warehouse(spark, sf_dir) -> Warehouse:
 
 
 @query
-def pipeline_end_to_end(spark, sf_dir):
+def refresh_end_to_end(spark, sf_dir):
     """Load, features, model, threats and evaluation through stored tables."""
     wh = _warehouse(spark, sf_dir)
     return _shown_threats(run_pipeline(spark, wh, "forest"))
 
 
 @query
-def pipeline_feature_table(spark, sf_dir):
+def stored_feature_table(spark, sf_dir):
     """The stored feature table after two builds."""
     from weirwatch.plans.pipeline import build_features
 

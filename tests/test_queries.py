@@ -17,7 +17,7 @@ def db():
 
 def test_every_statement_has_a_query():
     assert set(STATEMENTS) <= set(queries())
-    assert set(queries()) - set(STATEMENTS) == {"fit_forest", "score_forest", "evaluate_forest", "pipeline_end_to_end"}
+    assert set(queries()) - set(STATEMENTS) == {"fit_forest", "score_forest", "evaluate_forest", "refresh_end_to_end"}
 
 
 def test_entry(spark):
