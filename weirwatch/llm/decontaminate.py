@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirwatch.llm import stages
-from weirwatch.llm.words import blocks, shingle_sets, shingles, text_bytes, word_hashes
+from weirwatch.llm.words import blocks, distinct, shingle_sets, shingles, text_bytes, word_hashes
 
 PERCENT = 75
 #: Items of one block, and the bytes of their texts, that go to a task at once.
@@ -119,7 +119,7 @@ def _search(index: ItemIndex, ids: list, percent: int):
                 sets: dict[int, np.ndarray] = {}
                 for r, i in sorted(index.candidates(found, begin)):
                     if r not in sets:
-                        sets = {r: np.unique(found[begin[r] : begin[r + 1]])}
+                        sets = {r: distinct(found[begin[r] : begin[r + 1]])}
                     both = len(np.intersect1d(sets[r], index.sets[i], assume_unique=True))
                     if 100 * both >= percent * len(index.sets[i]):
                         doc.append(batch.column("doc_id")[a + r].as_py())

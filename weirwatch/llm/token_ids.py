@@ -16,6 +16,7 @@ alone, and a document is found through its block's offsets.
 from __future__ import annotations
 
 import itertools
+import os
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -121,12 +122,12 @@ class CachedBpe:
     def __call__(self, column: pa.Array) -> list[np.ndarray]:
         """The ids of each text of a block, its end id last."""
         data, offsets = text_bytes(column)
-        begin = offsets[:-1][np.diff(offsets) > 0]
-        if len(data):
-            space = np.flatnonzero((data[:-1] == 32) & _SOLID[data[1:]])
-            starts = np.union1d(begin, space[~np.isin(space + 1, offsets)])
-        else:
-            starts = begin
+        cut = np.zeros(len(data) + 1, bool)
+        cut[1:-1] = (data[:-1] == 32) & _SOLID[data[1:]] if len(data) else False
+        cut[offsets] = False
+        cut[:-1] = cut[1:]  # a cut is at the space, unless that ends its text
+        cut[offsets[:-1][np.diff(offsets) > 0]] = True
+        starts = np.flatnonzero(cut[: len(data)])
         ends = np.append(starts[1:], len(data))[: len(starts)]
         keys, first, which = np.unique(hash_spans(data, starts, ends), return_index=True, return_inverse=True)
         if len(self.keys) > self.most:
@@ -155,6 +156,14 @@ _SOLID[[*range(0x21), 0x7F, 0xC2, 0xE1, 0xE2, 0xE3]] = False
 _encoders: dict[tuple[str, int], CachedBpe] = {}
 
 
+def worker_encoder(path: str, end_id: int) -> CachedBpe:
+    """The encoder that all tasks of this Python worker share."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    if (path, end_id) not in _encoders:
+        _encoders[path, end_id] = CachedBpe(path, end_id)
+    return _encoders[path, end_id]
+
+
 def bpe_encoder(path: str, end_id: int = 0) -> tuple[Callable[[], Callable[[pa.Array], list[np.ndarray]]], int]:
     """A maker of an encoder for a byte-level BPE file of the tokenizers library, and the vocabulary size.
 
@@ -165,12 +174,7 @@ def bpe_encoder(path: str, end_id: int = 0) -> tuple[Callable[[], Callable[[pa.A
     from tokenizers import Tokenizer
 
     def make():
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        if (path, end_id) not in _encoders:
-            _encoders[path, end_id] = CachedBpe(path, end_id)
-        return _encoders[path, end_id]
+        return worker_encoder(path, end_id)
 
     return make, Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
 
