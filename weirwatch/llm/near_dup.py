@@ -14,17 +14,20 @@ Candidates. Bands of five registers are hashed; classes that share a band are
 candidates. At similarity 0.75 a pair shares no band with probability 1e-6.
 
 Estimate. The numbers of registers that are larger, smaller and equal give the
-similarity of maximum likelihood, given both set sizes; pairs more than six
+similarity of maximum likelihood, given both set sizes; pairs more than five
 standard deviations below the threshold are dropped.
 
 Check. The remaining pairs are compared on their full sets.
 
 Large buckets are never expanded into all pairs. In the first round each member
-is compared with the bucket's first; linked classes then count as one, and
-later rounds compare only members of different components: all such pairs in
-buckets of at most ``SMALL``, and the members of the smallest components with
-all others in larger ones, until no bucket has two components that were not
-compared. So every pair in a bucket is either compared or already connected.
+is compared with the bucket's hub, the member with most company in all its
+buckets. Linked classes then count as one. In later rounds the members of a
+bucket's smaller components (``PIVOTS`` at most) meet the members of other
+components; registers are compared in arrays, in portions of ``PORTION``
+members, and only likely pairs leave the task, each from the first band that it
+shares. Pivots have then met their whole bucket and leave it. Rounds go on
+until no bucket holds two components, so every pair in a bucket is either
+compared or connected already.
 """
 
 from __future__ import annotations
@@ -45,8 +48,11 @@ ROWS = 5
 BANDS = REGISTERS // ROWS
 BASE = 1.001
 PERCENT = 75
-#: Up to so many members of a bucket are compared in pairs; of more, so many are compared with all others in a round.
-SMALL = 32
+#: Members of a bucket's smaller components that meet all others in one round, and members that one task compares them with at once.
+PIVOTS = 256
+PORTION = 4096
+#: Standard deviations by which an estimate may lie below the threshold.
+DEVIATIONS = 5
 
 _LEVELS = np.arange(REGISTERS + 1)
 #: Interval bounds of the rising sequence of one element, as multiples of the register's scale.
@@ -159,21 +165,76 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         index = pa.array(np.repeat(np.arange(len(registers)), BANDS))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([bands(x) for x in registers])), batch.column("node").take(index), batch.column("n_shingles").take(index)],
-            names=["band", "node", "n"],
+            [pa.array(np.concatenate([bands(x) for x in registers])), pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(registers))), batch.column("node").take(index), batch.column("n_shingles").take(index)],
+            names=["band", "number", "node", "n"],
         )
 
 
+def _likely(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Which pairs of registers are likely enough to be similar sets."""
+    low = PERCENT / 100 - DEVIATIONS * np.sqrt(0.25 * 0.75 / REGISTERS)
+    equal = (a == b).sum(1)
+    out = equal >= (low - 0.1) * REGISTERS  # far fewer than any likely pair has
+    above = (a[out] > b[out]).sum(1)
+    out[out] = likely_similarity(above, REGISTERS - equal[out] - above, equal[out], n_a[out].astype(np.float64), n_b[out].astype(np.float64)) >= low
+    return out
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Registers of a binary column, a row each."""
+    return text_bytes(column)[0].view(np.uint16).reshape(-1, REGISTERS)
+
+
 def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keep pairs whose likely similarity is not far below the threshold."""
-    low = PERCENT / 100 - 6 * np.sqrt(0.25 * 0.75 / REGISTERS)
+    for batch in batches:
+        if batch.num_rows:
+            keep = _likely(_matrix(batch.column("registers_a")), _matrix(batch.column("registers_b")), *(batch.column(c).to_numpy() for c in ("n_a", "n_b")))
+            yield batch.filter(pa.array(keep)).select(["a", "b"])
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Likely pairs of a pivot and a member of another component, portion by portion; rows come sorted by band and portion."""
+
+    def compare(rows: pa.Table) -> pa.RecordBatch | None:
+        names = ("band", "portion", "number", "node", "n", "component", "pivot")
+        band, portion, number, node, n, component, pivot = (rows.column(c).to_numpy() for c in names)
+        registers = _matrix(rows.column("registers").combine_chunks())
+        edge = np.flatnonzero(np.concatenate([[True], (band[1:] != band[:-1]) | (portion[1:] != portion[:-1]), [True]]))
+        found_a, found_b = [], []
+        for x, y in zip(edge[:-1], edge[1:]):
+            ps, ms = np.flatnonzero(pivot[x:y]) + x, np.flatnonzero(~pivot[x:y]) + x
+            own = set(node[ps].tolist())
+            for p in ps:
+                q = ms[component[ms] != component[p]]
+                q = q[100 * np.minimum(n[q], n[p]) >= PERCENT * np.maximum(n[q], n[p])]
+                if not len(q):
+                    continue
+                mine = np.broadcast_to(registers[p], (len(q), REGISTERS))
+                q = q[_likely(mine, registers[q], np.full(len(q), n[p]), n[q])]
+                if not len(q):
+                    continue
+                # A pair is told by the first band it shares; two pivots tell it once.
+                shared = (registers[q][:, : BANDS * ROWS].reshape(-1, BANDS, ROWS) == registers[p][: BANDS * ROWS].reshape(BANDS, ROWS)).all(2)
+                q = q[shared.argmax(1) == number[p]]
+                q = [i for i in q.tolist() if node[i] not in own or node[p] < node[i]]
+                found_a += [int(node[p])] * len(q)
+                found_b += [int(node[i]) for i in q]
+        a, b = np.array(found_a, np.int64), np.array(found_b, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    held: pa.Table | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        a, b = (np.stack([np.frombuffer(x, np.uint16) for x in batch.column(c).to_pylist()]) for c in ("registers_a", "registers_b"))
-        n_a, n_b = (np.asarray(batch.column(c).to_numpy(zero_copy_only=False), np.float64) for c in ("n_a", "n_b"))
-        found = likely_similarity((a > b).sum(1), (a < b).sum(1), (a == b).sum(1), n_a, n_b)
-        yield batch.filter(pa.array(found >= low)).select(["a", "b"])
+        held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        band, portion = held.column("band").to_numpy(), held.column("portion").to_numpy()
+        whole = np.flatnonzero((band != band[-1]) | (portion != portion[-1]))
+        if len(whole):
+            yield compare(held.slice(0, int(whole[-1]) + 1))
+            held = held.slice(int(whole[-1]) + 1)
+    if held is not None:
+        yield compare(held)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,30 +282,36 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
 
 def _first_pairs(buckets: DataFrame) -> DataFrame:
-    """Every member of a bucket with the bucket's smallest node."""
-    least = buckets.groupBy("band").agg(F.min("node").alias("a"))
-    return buckets.join(least, "band").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    """Every member of a bucket with the bucket's hub."""
+    sizes = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("members"))
+    company = buckets.join(sizes, "band").groupBy("node").agg(F.sum("members").alias("company"))
+    best = buckets.join(company, "node").groupBy("band").agg(F.max(F.struct("company", "node"))["node"].alias("hub"))
+    pairs = buckets.join(best, "band").where("node <> hub")
+    return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
-def _next_pairs(buckets: DataFrame, linked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs of different components to compare next, and the buckets that remain after that.
+def _next_pairs(buckets: DataFrame, linked: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Likely pairs of different components, and the buckets that remain after these.
 
-    Pivots are members of a bucket's smallest components, ``SMALL`` at most and
-    none of its largest component. They are compared with every member of other
-    components, and then leave.
+    Pivots are members of a bucket's smaller components, ``PIVOTS`` at most, and
+    never of its largest.
     """
-    state = buckets.join(linked, "node", "left").select("band", "node", "n", F.coalesce("component", "node").alias("component"))
+    state = buckets.join(linked, "node", "left").select("band", "number", "node", "n", F.coalesce("component", "node").alias("component"))
     parts = state.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size"))
     rising = Window.partitionBy("band").orderBy("size", "component")
     parts = parts.withColumn("before", F.coalesce(F.sum("size").over(rising.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    parts = parts.withColumn("next", F.lead("size").over(rising)).where(f"next is not null and before < {SMALL}")
-    chosen = state.join(parts.select("band", "component", "before"), ["band", "component"])
-    chosen = chosen.withColumn("rank", F.row_number().over(Window.partitionBy("band", "component").orderBy("node"))).where(f"rank <= {SMALL}")
-    pivots = stages.stage(chosen.where(f"before + rank <= {SMALL}").select("band", F.col("node").alias("p"), F.col("component").alias("pc"), F.col("n").alias("pn")), "pivots")
-    near = state.join(pivots, "band").where(f"component <> pc and 100 * least(n, pn) >= {PERCENT} * greatest(n, pn)")
-    pairs = near.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-    rest = state.join(pivots.select("band").distinct(), "band", "left_semi").join(pivots.select("band", F.col("p").alias("node")), ["band", "node"], "left_anti")
-    return pairs, rest.select("band", "node", "n")
+    parts = parts.withColumn("next", F.lead("size").over(rising)).withColumn("members", F.sum("size").over(Window.partitionBy("band")))
+    parts = parts.where(f"next is not null and before < {PIVOTS}").select("band", "component", "before", F.ceil(F.col("members") / PORTION).alias("portions"))
+    chosen = state.join(parts, ["band", "component"])
+    chosen = chosen.withColumn("rank", F.row_number().over(Window.partitionBy("band", "component").orderBy("node"))).where(f"rank <= {PIVOTS}")
+    pivots = stages.stage(chosen.where(f"before + rank <= {PIVOTS}").select(*state.columns, "portions"), "pivots")
+    still = state.join(pivots.groupBy("band").agg(F.max("portions").alias("portions")), "band")
+    members = still.withColumn("portion", F.pmod(F.xxhash64("node"), F.col("portions"))).withColumn("pivot", F.lit(False))
+    guests = pivots.withColumn("portion", F.explode(F.sequence(F.lit(0).cast("long"), F.col("portions") - 1))).withColumn("pivot", F.lit(True))
+    rows = members.unionByName(guests).drop("portions").join(classes.select("node", "registers"), "node")
+    pairs = rows.repartition("band", "portion").sortWithinPartitions("band", "portion").mapInArrow(_meet, "a long, b long")
+    rest = still.join(pivots.select("band", "node"), ["band", "node"], "left_anti")
+    return stages.stage(pairs.distinct(), "pairs"), stages.stage(rest.select("band", "number", "node", "n"), "buckets")
 
 
 def links(sketches: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -258,31 +325,30 @@ def links(sketches: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     kept = found.join(first, F.expr("class = c and doc_id <=> first"))
     classes = kept.select(F.xxhash64("class").alias("node"), "class", "doc_id", "n_shingles", "registers").dropDuplicates(["node"])
     classes = stages.stage(classes, "classes")
-    bands_ = classes.select("node", "n_shingles", "registers").mapInArrow(_band_rows, "band long, node long, n long")
+    bands_ = classes.select("node", "n_shingles", "registers").mapInArrow(_band_rows, "band long, number int, node long, n long")
     shared = bands_.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("band")
     buckets = stages.stage(bands_.join(shared, "band", "left_semi"), "buckets")
+    # Whole sets of all texts that share a band, made once.
+    needed = buckets.select("node").distinct().join(classes.select("node", "class", "doc_id"), "node")
+    body = stages.texts(docs).withColumnRenamed("doc_id", "of").join(needed, F.expr("of <=> doc_id")).select("node", "class", "text")
+    sets = stages.stage(body.mapInArrow(_sets, "node long, elements binary"), "sets")
 
-    edges = _confirmed(_first_pairs(buckets), classes, docs)
+    side = lambda x: classes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("registers").alias(f"registers_{x}"))
+    sized = _first_pairs(buckets).join(side("a"), "a").join(side("b"), "b").where(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
+    edges = _confirmed(stages.stage(sized.mapInArrow(_estimate, "a long, b long"), "pairs"), sets)
+    linked = components(edges)
     while True:
-        linked = components(edges)
-        pairs, buckets = _next_pairs(buckets, linked)
-        new = _confirmed(pairs, classes, docs)
-        buckets = stages.stage(buckets, "buckets")
+        pairs, buckets = _next_pairs(buckets, linked, classes)
+        new = _confirmed(pairs, sets)
         if not new.isEmpty():
             edges = stages.stage(edges.union(new).distinct(), "links")
-        elif buckets.isEmpty():
+            linked = components(edges)
+        if buckets.isEmpty():
             return edges, classes, linked
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    side = lambda x: classes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("registers").alias(f"registers_{x}"))
-    sized = pairs.join(side("a"), "a").join(side("b"), "b").where(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
-    likely = stages.stage(sized.mapInArrow(_estimate, "a long, b long"), "pairs")
-    needed = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct().join(classes.select("node", "class", "doc_id"), "node")
-    body = stages.texts(docs).withColumnRenamed("doc_id", "of")
-    body = needed.join(body, F.expr("doc_id <=> of")).select("node", "class", "text")
-    sets = stages.stage(body.mapInArrow(_sets, "node long, elements binary"), "sets")
-    both = likely.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("set_a")), "a")
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("set_a")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("elements").alias("set_b")), "b")
     return stages.stage(both.mapInArrow(_confirm, "a long, b long").distinct(), "links")
 
