@@ -87,13 +87,20 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tup
     size = np.diff(np.append(start, len(anchor)))
     start, size = start[fits[start]], size[fits[start]]
     at = row[start]
-    # Windows of one place may be equal if a period brings the same gram again.
-    twice = np.zeros(len(start), np.int64)
     low = anchor[start] >> np.uint64(7)
-    high = grams >> np.uint64(7)
-    for j in range(2 * (length - GRAM) + 1):
-        twice += (high[np.minimum(start + j, len(high) - 1)] == low) & (j < size + length - GRAM) & (start + j < len(high))
-    return anchor[start] >> np.uint64(7), at, start - offsets[at], size, hash_ranges(data, start, start + size + length - 1), twice > 1
+    return low, at, start - offsets[at], size, hash_ranges(data, start, start + size + length - 1), _again_soon(grams >> np.uint64(7), low, 2 * length)
+
+
+def _again_soon(grams: np.ndarray, anchors: np.ndarray, within: int) -> np.ndarray:
+    """Which anchors are grams that come again within so many bytes: windows of one place may be equal only by such a period."""
+    some = np.zeros(1 << 20, bool)
+    some[anchors >> np.uint64(37)] = True
+    place = np.flatnonzero(some[grams >> np.uint64(37)])
+    value = grams[place]
+    order = np.argsort(value, kind="stable")
+    value, place = value[order], place[order]
+    near = (value[1:] == value[:-1]) & (place[1:] - place[:-1] <= within)
+    return np.isin(anchors, value[1:][near])
 
 
 def _segment_rows(length: int):
@@ -131,9 +138,10 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
         order = np.argsort(key)
         if known >= depth:
             return order
+        ordered = key[order]
         new = np.empty(n, bool)
         new[0] = True
-        new[1:] = key[order][1:] != key[order][:-1]
+        new[1:] = ordered[1:] != ordered[:-1]
         rank = np.empty(n, np.uint64)
         rank[order] = np.cumsum(new).astype(np.uint64)
         step = min(known, depth - known)
@@ -254,27 +262,39 @@ def _hashed_windows(length: int):
     return run
 
 
+def _lists(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Where each row's list starts in the flat values, and these."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    offsets = column.offsets.to_numpy()
+    return offsets - offsets[0], column.flatten()
+
+
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the wanted segments of each text."""
     for batch in batches:
-        for i, wanted in enumerate(batch.column("wanted").to_pylist()):
+        at, wanted = _lists(batch.column("wanted"))
+        start, end = (wanted.field(c).to_numpy() for c in ("start", "end"))
+        pieces = []
+        for i in range(batch.num_rows):
             raw = batch.column("text")[i].as_buffer().to_pybytes()
-            row = batch.slice(i, 1)
-            index = pa.array(np.zeros(len(wanted), np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w["anchor"] for w in wanted], pa.int64()), row.column("place").take(index), row.column("text_key").take(index), pa.array([w["start"] for w in wanted], pa.int64()), pa.array([raw[w["start"] : w["end"]] for w in wanted], pa.binary())],
-                names=["anchor", "place", "text_key", "start", "bytes"],
-            )
+            pieces += [raw[a:b] for a, b in zip(start[at[i] : at[i + 1]].tolist(), end[at[i] : at[i + 1]].tolist())]
+        index = pa.array(np.repeat(np.arange(batch.num_rows), np.diff(at)))
+        yield pa.RecordBatch.from_arrays(
+            [wanted.field("anchor"), batch.column("place").take(index), batch.column("text_key").take(index), pa.array(start.astype(np.int64)), pa.array(pieces, pa.binary())],
+            names=["anchor", "place", "text_key", "start", "bytes"],
+        )
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         removed, spans, digest = [], [], []
-        for i, cuts in enumerate(batch.column("cuts").to_pylist()):
+        at, cuts_ = _lists(batch.column("cuts"))
+        start, size = (cuts_.field(c).to_numpy() for c in ("start", "size"))
+        for i in range(batch.num_rows):
             data = np.frombuffer(batch.column("text")[i].as_buffer(), np.uint8)
-            turns = np.zeros(len(data) + 1, np.int64)
-            np.add.at(turns, [c["start"] for c in cuts], 1)
-            np.add.at(turns, [c["start"] + c["size"] for c in cuts], -1)
+            a, n = start[at[i] : at[i + 1]], size[at[i] : at[i + 1]]
+            turns = np.bincount(a, minlength=len(data) + 1) - np.bincount(a + n, minlength=len(data) + 1)
             gone = np.cumsum(turns[:-1]) > 0
             removed.append(int(gone.sum()))
             spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
@@ -306,18 +326,18 @@ def cuts(keyed: DataFrame, described: DataFrame, length: int = LENGTH, hot: int
     spot = F.xxhash64("text_key", "start")
     shared = found.groupBy("anchor").agg(F.min(spot).alias("a"), F.max(spot).alias("b"), F.max("twice").alias("t")).where("a <> b or t").select("anchor")
     firsts = described.groupBy("text_key").agg(F.min("first").alias("place"))
-    shared = stages.stage(found.join(shared, "anchor", "left_semi").join(firsts, "text_key"), "shared")
+    shared = stages.stage(found.join(shared.hint("shuffle_hash"), "anchor", "left_semi").join(firsts.hint("shuffle_hash"), "text_key"), "shared")
     # Of equal segments the first stays in question, all others go.
     spot = F.struct("place", "text_key", "start", "size", "twice")
     first = shared.groupBy("anchor", "content").agg(F.min(spot).alias("first"))
     first = stages.stage(first, "first-segments")
-    later = shared.join(first, ["anchor", "content"]).where((F.col("text_key") != F.col("first.text_key")) | (F.col("start") != F.col("first.start")))
+    later = shared.join(first.hint("shuffle_hash"), ["anchor", "content"]).where((F.col("text_key") != F.col("first.text_key")) | (F.col("start") != F.col("first.start")))
     out = later.select("text_key", F.col("start").cast("long").alias("start"), (F.col("size") + length - 1).cast("long").alias("size"))
     several = first.groupBy("anchor").agg(F.count(F.lit(1)).alias("segments"), F.max("first.twice").alias("t")).where("segments > 1 or t")
-    wanted = first.join(several, "anchor").select("first.text_key", "first.place", F.struct("anchor", "first.start", (F.col("first.start") + F.col("first.size") + length - 1).alias("end")).alias("w"))
+    wanted = first.join(several.hint("shuffle_hash"), "anchor").select("first.text_key", "first.place", F.struct("anchor", "first.start", (F.col("first.start") + F.col("first.size") + length - 1).alias("end")).alias("w"))
     wanted = wanted.groupBy("text_key", "place").agg(F.collect_list("w").alias("wanted"))
     body = keyed.select(F.col("place").alias("p"), F.col("text_key").alias("k"), "text")
-    pieces = wanted.join(body, F.expr("text_key = k and place = p")).drop("k", "p")
+    pieces = body.join(wanted, F.expr("text_key = k and place = p")).drop("k", "p")
     pieces = stages.stage(pieces.mapInArrow(_cut_out, "anchor long, place long, text_key long, start long, bytes binary"), "pieces")
     size = several.withColumnRenamed("anchor", "of")
     cool = pieces.join(size.where(F.col("segments") <= hot), F.expr("anchor = of"), "left_semi").dropDuplicates(["anchor", "text_key", "start"])
