@@ -421,12 +421,12 @@ def ip_window_features_1h(spark, sf_dir):
 
 @query
 def window_p95_distributed(spark, sf_dir):
-    """The window p95 as it is computed where the log is large."""
+    """The window p95 by itself."""
     logs = adapter.request_logs(spark, sf_dir)
     rows = logs.withColumn("window_start", window_start(F.col("timestamp")))
     keys = ["window_start", "ip_hash"]
     return printable(
-        exact_quantile(rows, keys, "latency_ms", 0.95, "p95_latency_ms", strategy="distributed")
+        exact_quantile(rows, keys, "latency_ms", 0.95, "p95_latency_ms")
     )
 
 
@@ -438,7 +438,7 @@ def price_median_distributed(spark, sf_dir):
     )
     return printable(
         exact_quantile(
-            lines, ["part_group"], "l_extendedprice", 0.5, "median", levels=2, strategy="distributed"
+            lines, ["part_group"], "l_extendedprice", 0.5, "median", levels=2
         )
     )
 

@@ -41,7 +41,7 @@ def skewed(spark):
 @pytest.mark.parametrize("method,levels,p", [("interpolated", 1, 0.95), ("interpolated", 2, 0.5), ("nearest", 2, 0.95)])
 def test_quantile_of_groups(skewed, method, levels, p):
     frame, df = skewed
-    got = exact_quantile(df, ["g"], "v", p, "q", method, levels, "distributed").toPandas()
+    got = exact_quantile(df, ["g"], "v", p, "q", method, levels).toPandas()
     got = got.set_index("g").q.sort_index()
     by = frame.groupby("g").v
     want = by.quantile(p) if method == "interpolated" else by.apply(lambda s: nearest(s, p))
@@ -50,10 +50,8 @@ def test_quantile_of_groups(skewed, method, levels, p):
 
 def test_quantile_of_small_cases(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,), (None,)], "v DOUBLE")
-    for strategy in ("built-in", "distributed"):
-        got = exact_quantile(df, [], "v", 0.95, "q", strategy=strategy).first().q
-        assert math.isclose(got, 8.95)
-        assert exact_quantile(df.where("v < 0"), [], "v", 0.5, "q", strategy=strategy).count() == 0
+    assert math.isclose(exact_quantile(df, [], "v", 0.95, "q").first().q, 8.95)
+    assert exact_quantile(df.where("v < 0"), [], "v", 0.5, "q").count() == 0
     for n, index in ((11, 10), (31, 28)):
         rows = spark.range(n).select(F.col("id").cast("double").alias("v"))
         assert nearest_rank_p95(rows, "v").first().p95 == index
@@ -62,7 +60,7 @@ def test_quantile_of_small_cases(spark):
 def test_dense_values_need_no_luck(spark):
     """All values in one narrow band, so the first buckets tell nothing."""
     rows = spark.range(30001).select((F.lit(100.0) + F.col("id") / 1e7).alias("v")).repartition(8)
-    got = exact_quantile(rows, [], "v", 0.5, "q", levels=2, strategy="distributed").first().q
+    got = exact_quantile(rows, [], "v", 0.5, "q", levels=2).first().q
     assert got == 100.0 + 15000 / 1e7
 
 
@@ -172,10 +170,11 @@ def test_features_keep_every_row(spark):
     assert values == {round(-math.log(share), 9)}
 
 
-def test_strategies_agree(spark):
+def test_window_p95_equals_the_built_in_percentile(spark):
     logs = adapter.request_logs(spark, SF_DIR)
-    a = ip_window_features(logs, strategy="built-in").select("window_start", "ip_hash", F.round("p95_latency_ms", 6))
-    b = ip_window_features(logs, strategy="distributed").select("window_start", "ip_hash", F.round("p95_latency_ms", 6))
+    a = ip_window_features(logs).select("window_start", "ip_hash", F.round("p95_latency_ms", 6))
+    rows = logs.where("ip_hash is not null and timestamp is not null").withColumn("window_start", F.window("timestamp", "5 minutes")["start"])
+    b = rows.groupBy("window_start", "ip_hash").agg(F.round(F.percentile("latency_ms", 0.95), 6))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 

@@ -195,3 +195,10 @@ def test_metric_csv_round_trip(spark, folder):
     reports.write_metric_csv(summary, f"{folder}/m")
     got = {r.metric: r.value for r in reports.read_metric_csv(spark, f"{folder}/m", "d").collect()}
     assert got == {"dataset": "d", "row_count": "3", "latency_avg_ms": None}
+
+
+def test_broken_array_file_is_an_error(spark, folder):
+    with open(f"{folder}/a.json", "w") as f:
+        f.write('[{"a": 1}, {"a":')
+    with pytest.raises(Exception, match="not a JSON array"):
+        jsonl.read_array_file(spark, f"{folder}/a.json").collect()

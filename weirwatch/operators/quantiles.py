@@ -7,8 +7,7 @@ that holds the wanted rank is found from the counts. Mostly the rank falls on
 the smallest or largest value of its bucket and is known at once; only for the
 others are the rows of that single bucket looked at again.
 
-Small inputs, by the optimizer's size estimate, take the built-in percentile:
-one shuffle instead of several.
+There is one way for inputs of all sizes.
 """
 
 from __future__ import annotations
@@ -27,26 +26,6 @@ _TOP_BUCKET = 1_000_000
 # Parts a bucket is split into at each further level.
 _PARTS = 4096
 
-# Inputs up to this estimate use the built-in percentile. It keeps distinct
-# values only, and a distinct double takes its eight bytes in the input too, so
-# no task can come to hold more than a few million of them.
-SMALL_INPUT_BYTES = 32 << 20
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of a result; no job runs for it."""
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-    except AttributeError:  # not a classic session
-        return None
-    return int(str(plan.stats().sizeInBytes()))
-
-
-def _is_small(df: DataFrame) -> bool:
-    size = estimated_bytes(df)
-    return size is not None and size <= SMALL_INPUT_BYTES
-
-
 def _log_bucket(value: Column) -> Column:
     """A bucket number that never falls as the value grows."""
     size = F.least(F.floor(F.log1p(F.abs(value)) * F.lit(_PER_EFOLD)), F.lit(_TOP_BUCKET))
@@ -114,7 +93,6 @@ def exact_quantile(
     out: str,
     method: str = "interpolated",
     levels: int = 1,
-    strategy: str = "auto",
 ) -> DataFrame:
     """One exact quantile of ``value`` per group, nulls ignored.
 
@@ -123,11 +101,8 @@ def exact_quantile(
     key are left out; ``keys`` may be empty for the whole table. ``levels`` is how often a
     bucket is split before its values are ranked: 1 does for measurements of
     limited precision within a group, 2 for a whole table of doubles. Groups
-    without a value are absent. ``strategy`` is ``auto``, ``built-in`` or
-    ``distributed``; the result is the same.
+    without a value are absent.
     """
-    if strategy not in ("auto", "built-in", "distributed"):
-        raise ValueError(f"unknown strategy: {strategy}")
     if method not in ("interpolated", "nearest"):
         raise ValueError(f"unknown method: {method}")
     if not 0.0 <= p <= 1.0:
@@ -137,13 +112,6 @@ def exact_quantile(
     # here keeps both uses of the counted rows one and the same shuffle.
     present = reduce(and_, [F.col(c).isNotNull() for c in [*keys, value]])
     rows = df.where(present).select(*keys, F.col(value).cast("double").alias("_v"))
-    if strategy == "auto":
-        strategy = "built-in" if _is_small(rows) else "distributed"
-    if strategy == "built-in" and method == "interpolated":
-        quantile = rows.groupBy(*keys).agg(F.percentile("_v", p).alias(out))
-        return quantile if keys else quantile.where(F.col(out).isNotNull())
-    if strategy == "built-in":
-        levels = 1
     if not group:
         rows, group = rows.withColumn("_whole", F.lit(0)), ["_whole"]
 

@@ -129,7 +129,9 @@ def with_context(alerts: DataFrame, logs: DataFrame, window: str = "5 minutes")
     wanted = alerts.select(*keys)
     rows = logs.withColumn("window_start", window_start(F.col("timestamp"), window))
     if "log_date" in logs.columns:
-        wanted = wanted.withColumn("log_date", F.to_date("window_start"))
+        # A window may run into later days.
+        last = F.to_date(F.col("window_start") + F.expr(f"interval {window}") - F.expr("interval 1 microsecond"))
+        wanted = wanted.withColumn("log_date", F.explode(F.sequence(F.to_date("window_start"), last)))
         hits = rows.join(F.broadcast(wanted), [*keys, "log_date"])
     else:
         hits = rows.join(F.broadcast(wanted), keys)

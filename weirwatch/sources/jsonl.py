@@ -100,10 +100,13 @@ def read_array_file(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Entries of files that hold one JSON array each.
 
     A JSON array cannot be split, so each file is one task; exports meant for
-    scale should be JSON lines.
+    scale should be JSON lines. A file that is no JSON array is an error that
+    names it.
     """
-    files = spark.read.text(path, wholetext=True)
-    entries = F.from_json("value", "ARRAY<VARIANT>")
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    parsed = F.from_json("value", "ARRAY<VARIANT>")
+    broken = F.raise_error(F.concat(F.lit("not a JSON array: "), F.col("file")))
+    entries = F.when(parsed.isNull(), broken.cast("ARRAY<VARIANT>")).otherwise(parsed)
     return files.select(F.explode(entries).alias("entry")).select(
         F.to_json("entry").alias("value"), F.monotonically_increasing_id().alias("load_order")
     )

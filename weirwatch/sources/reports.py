@@ -31,9 +31,12 @@ def read_metric_csv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
 
 
 def markdown_table(df: DataFrame, limit: int = MAX_REPORT_ROWS) -> str:
-    """At most ``limit`` rows as a Markdown table."""
+    """A small result as a Markdown table; more than ``limit`` rows are an error, never cut."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"a report table has more than {limit} rows")
     lines = ["| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
-    for row in df.limit(limit).collect():
+    for row in rows:
         cells = [", ".join(v) if isinstance(v, list) else "" if v is None else str(v) for v in row]
         lines.append("| " + " | ".join(cells) + " |")
     return "\n".join(lines)

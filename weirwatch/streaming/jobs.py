@@ -70,7 +70,10 @@ def refresh_windows(
     """
     logs = read_table(spark, log_path)
     # One value per day of a batch: a short list that prunes the partitions.
-    days = [r.d for r in windows.select(F.to_date("window_start").alias("d")).distinct().collect()]
+    # A window may run into later days.
+    last = F.to_date(F.col("window_start") + F.expr(f"interval {window}") - F.expr("interval 1 microsecond"))
+    of_windows = windows.select(F.explode(F.sequence(F.to_date("window_start"), last)).alias("d"))
+    days = [r.d for r in of_windows.distinct().collect()]
     if not days:
         return 0
     inside = (
@@ -135,6 +138,10 @@ def live_requests(entries: DataFrame, salt: str, delay: str = "5 minutes") -> Da
 def live_counters(rows: DataFrame, window: str = FIVE_MINUTES) -> DataFrame:
     """Counts per window and client as windows close, in append mode.
 
+    Rows of one batch count in any order. Over several batches a row later than
+    the watermark is lost here, as in every append stream; ``start_ingest`` keeps
+    such rows and refreshes their windows.
+
     The first aggregation is keyed by template too, so the state of a hot
     client is spread out; the second one only adds those rows up, and its row
     count is the number of distinct templates.
