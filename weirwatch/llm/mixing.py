@@ -153,11 +153,14 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     its first words only, as many as are taken, joined by single spaces. A
     document without words is kept once, so that mixing never filters by content.
     """
-    chosen = mix(docs, **options).select(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash"), F.col("source").alias("m_source"), "size", "whole", "part").distinct()
+    chosen = mix(docs, **options).select(
+        F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash"), F.col("source").alias("m_source"), F.col("size").alias("m_size"), F.col("whole").alias("m_whole"), F.col("part").alias("m_part")
+    ).distinct()
     keyed = docs.withColumn("m_text", F.xxhash64(F.col("text").cast("string")))
     joined = keyed.join(chosen, F.expr("cast(doc_id as long) <=> m_id and m_text = m_hash and cast(source as string) <=> m_source"))
-    copies = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("whole") + (F.col("part") > 0).cast("int"))
+    copies = F.when(F.col("m_size") == 0, F.lit(1)).otherwise(F.col("m_whole") + (F.col("m_part") > 0).cast("int"))
     copied = joined.where(copies > 0).withColumn("m_copy", F.explode(F.sequence(F.lit(1), copies.cast("int"))))
     words = F.filter(F.split(F.col("text"), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    text = F.when((F.col("m_copy") > F.col("whole")) & (F.col("size") > 0), F.array_join(F.slice(words, 1, F.greatest(F.col("part"), F.lit(1)).cast("int")), " ")).otherwise(F.col("text"))
+    cut = F.array_join(F.slice(words, 1, F.greatest(F.col("m_part"), F.lit(1)).cast("int")), " ")
+    text = F.when((F.col("m_copy") > F.col("m_whole")) & (F.col("m_size") > 0), cut).otherwise(F.col("text"))
     return copied.withColumn("text", text).select(*docs.columns)
