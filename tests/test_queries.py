@@ -4,6 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import connect, difference
+from checks.queries import QUERIES
 
 from conftest import SF_DIR
 
@@ -17,7 +18,7 @@ def db():
 
 def test_every_statement_has_a_query():
     assert set(STATEMENTS) <= set(queries())
-    assert set(queries()) - set(STATEMENTS) == {"fit_forest", "score_forest", "evaluate_forest", "refresh_end_to_end"}
+    assert set(QUERIES) - set(STATEMENTS) == {"fit_forest", "score_forest", "evaluate_forest", "refresh_end_to_end"}
 
 
 def test_entry(spark):
