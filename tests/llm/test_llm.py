@@ -256,6 +256,32 @@ def test_mixing(docs, odd, texts):
     assert mixing.mixed_documents(docs).columns == docs.columns
 
 
+def test_mixing_of_small_sources_in_large_blocks(spark):
+    """Blocks of far more words than a small source has: all sources give their targets."""
+    sizes = {"a": [997] * 400, "b": [100] * 3, "c": [50, 150] * 10, "d": [1], "e": [700] * 9}
+    rows = [(i, "w " * n, s) for i, (s, n) in enumerate((s, n) for s, ns in sizes.items() for n in ns)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING").repartition(3)
+    for block_words in (1, 4096):
+        by = {}
+        for r in mixing.mix(docs, block_words=block_words).collect():
+            by.setdefault(r.source, []).append(r)
+        for source, rs in by.items():
+            assert sum(r.size for r in rs) == sum(sizes[source]) and all(r.taken <= 2 * r.size for r in rs)
+            # A prefix of a repeated row's words may fall away: here no row repeats.
+            assert sum(r.taken for r in rs) == round(rs[0].target)
+
+
+def test_schedule_deals_every_slot_once(spark):
+    plan = spark.createDataFrame([(0, 1, 90, 900, 9), (1, 1, 7, 7, 1), (2, 1, 1, 1, 1), (3, 1, 300, 333, 5)], "source_place INT, block_words LONG, blocks LONG, need LONG, last_end LONG")
+    rows = mixing.schedule(plan).collect()
+    assert sorted(r.slot for r in rows) == list(range(1241))
+    for place, need in ((0, 900), (1, 7), (2, 1), (3, 333)):
+        assert sorted(r["rank"] for r in rows if r.source_place == place) == list(range(need))
+    # Every prefix is close to the targets.
+    for n in range(100, 1241, 100):
+        assert abs(sum(r.source_place == 0 for r in rows if r.slot < n) - n * 900 / 1241) < 6
+
+
 def test_language_model(docs, odd, texts):
     got = {r.doc_id: r for r in language_model.score_texts(docs).collect()}
     tokens = {i: WORD.findall(lower(t or "")) + ["</s>"] for i, t in enumerate(texts)}

@@ -1,11 +1,14 @@
 """Operator 9: mix sources to target weights by a low-discrepancy schedule.
 
-Sizes count words. Slots of equally many words are dealt to sources by the
+Sizes count words. A source's documents are put into a hash order and cut into
+blocks of ``BLOCK_WORDS`` words at all sizes of input; a source of few such
+blocks has finer ones. Slots, one a block, are dealt to sources by the
 golden-ratio sequence: the place ``frac(slot * phi)`` falls into one source's
-span of the cumulative weights, so every prefix of the mix is close to the
-targets. A source's documents are put into a hash order and cut into blocks of
-as many words; the k-th slot of a source takes block k, from the first again
-when all are taken. A document is taken as often as its words' blocks are.
+span of the cumulative numbers of slots, so every prefix of the mix is close to
+the targets. The k-th slot of a source takes block k, from the first again when
+all are taken, and its last slot stops at the target's last word, so a source
+gives exactly its target in whole words. A document is taken as often as its
+words' blocks are.
 
 Prefix sums run over hash buckets first and inside one bucket then, so a source
 with a third of all rows is spread over all tasks.
@@ -22,8 +25,9 @@ from weirwatch.llm import stages
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
-#: Slots of the schedule; a block has as many words as make the mix fill them.
-SLOTS = 1 << 21
+#: Words of a block, and the blocks that a source has at least, if it has as many words.
+BLOCK_WORDS = 256
+LEAST_BLOCKS = 64
 BUCKETS = 4096
 PHI = 0.6180339887498949
 SOLID = "[^\\x20\\x09-\\x0D]+"
@@ -62,21 +66,37 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     return level.select("source", "place", "weight", "source_size", target.alias("target"))
 
 
-def schedule(targets: DataFrame, block_words: int, seed: int = 0) -> DataFrame:
-    """slot, source place and the rank of the slot among its source's slots."""
-    spark = targets.sparkSession
-    rising = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    spans = targets.withColumn("to", F.sum("target").over(rising)).withColumn("whole", F.sum("target").over(Window.partitionBy()))
-    spans = spans.select(F.col("place").alias("source_place"), F.col("to"), "whole", ((F.col("to") - F.col("target"))).alias("from")).where("to > from")
-    whole = spans.agg(F.max("whole").alias("w")).first()["w"] or 0.0
-    slots = round(whole / block_words)
+def block_plan(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """source_place, block_words, blocks, need and last_end of every source that is taken from.
+
+    ``need`` slots hold the target, rounded to whole words: full rounds over all
+    blocks, then blocks from the first on. The last slot stops before word ``last_end``.
+    """
+    size = F.col("source_size")
+    plan = targets.select(F.col("place").alias("source_place"), size, F.round("target").cast("long").alias("wanted")).where("wanted > 0")
+    plan = plan.withColumn("block_words", F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(size / LEAST_BLOCKS))).cast("long"))
+    plan = plan.withColumn("blocks", F.ceil(size / F.col("block_words"))).withColumn("rest", F.col("wanted") % size)
+    need = F.floor(F.col("wanted") / size) * F.col("blocks") + F.ceil(F.col("rest") / F.col("block_words"))
+    return plan.select("source_place", "block_words", "blocks", need.alias("need"), F.when(F.col("rest") > 0, F.col("rest")).otherwise(size).alias("last_end"))
+
+
+def schedule(plan: DataFrame, seed: int = 0) -> DataFrame:
+    """slot, source place and the rank of the slot among its source's slots; every source has ``need`` of them.
+
+    The sequence deals a source some slots more or less than it needs. Those
+    beyond go, in order, to the sources that lack some.
+    """
+    spark = plan.sparkSession
+    rising = Window.orderBy("source_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = plan.select("source_place", "need", F.sum("need").over(rising).alias("to")).withColumn("from", F.col("to") - F.col("need"))
+    slots = plan.agg(F.sum("need")).first()[0] or 0
     offset = (seed * PHI) % 1.0
-    points = spark.range(slots).select(F.col("id").alias("slot"), ((F.lit(offset) + F.col("id") * PHI) % 1.0 * whole).alias("at"))
+    points = spark.range(slots).select(F.col("id").alias("slot"), ((F.lit(offset) + F.col("id") * PHI) % 1.0 * slots).alias("at"))
     # A point's span: points and span ends in one order would be a sort; spans are few (one a source), so each span filters its own points.
     grid = 1024
-    cell = lambda x: F.floor(x / whole * grid).cast("long")
+    cell = lambda x: F.floor(x / max(slots, 1) * grid).cast("long")
     cells = spans.select("*", F.explode(F.sequence(cell(F.col("from")), F.least(cell(F.col("to")), F.lit(grid)))).alias("cell"))
-    hit = points.withColumn("cell", cell(F.col("at"))).join(cells, "cell").where("at >= from and at < to").select("slot", "source_place")
+    hit = points.withColumn("cell", cell(F.col("at"))).join(cells, "cell").where("at >= from and at < to").select("slot", "source_place", "need")
     # Rank in two steps, so that no source is one group: before the stretch, and within it.
     hit = hit.withColumn("stretch", F.shiftright("slot", 12))
     counts = hit.groupBy("source_place", "stretch").agg(F.count(F.lit(1)).alias("n"))
@@ -84,7 +104,15 @@ def schedule(targets: DataFrame, block_words: int, seed: int = 0) -> DataFrame:
     counts = counts.select("source_place", "stretch", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     inner = F.row_number().over(Window.partitionBy("source_place", "stretch").orderBy("slot")) - 1
     ranked = hit.withColumn("inner", inner).join(counts, ["source_place", "stretch"])
-    return ranked.select("slot", "source_place", (F.col("before") + F.col("inner")).alias("rank"))
+    ranked = stages.stage(ranked.select("slot", "source_place", (F.col("before") + F.col("inner")).alias("rank"), "need"), "slots")
+    # A few slots a source: those beyond, and those that lack.
+    dealt = ranked.groupBy("source_place").agg(F.count(F.lit(1)).alias("dealt"))
+    lack = plan.join(dealt, "source_place", "left").withColumn("dealt", F.coalesce("dealt", F.lit(0))).where("dealt < need")
+    lack = lack.select("source_place", F.explode(F.sequence("dealt", F.col("need") - 1)).alias("rank"))
+    lack = lack.withColumn("k", F.row_number().over(Window.orderBy("rank", "source_place")))
+    free = ranked.where("rank >= need").select("slot", F.row_number().over(Window.orderBy("slot")).alias("k"))
+    lack = lack.join(free, "k", "left").select(F.coalesce("slot", F.lit(slots)).alias("slot"), "source_place", "rank")
+    return ranked.where("rank < need").drop("need").unionByName(lack)
 
 
 def place_documents(rows: DataFrame, seed: int = 0) -> DataFrame:
@@ -103,7 +131,7 @@ def place_documents(rows: DataFrame, seed: int = 0) -> DataFrame:
     return placed.select(*rows.columns, (F.col("before") + F.col("inner")).alias("first_word"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 0, slots: int = SLOTS) -> DataFrame:
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per row of ``docs``: row, doc_id, source, size, source_size, target, taken, whole, part.
 
     ``taken`` counts the words that the mix takes, repeats included: ``whole``
@@ -116,8 +144,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     rows = stages.texts(docs, "source").select("doc_id", F.col("source").cast("string").alias("source"), word_count().alias("size"), F.xxhash64("text").alias("text_hash"))
     rows = stages.stage(rows, "sizes")
     targets = stages.stage(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "targets")
-    total = targets.agg(F.sum("target")).first()[0] or 0.0
-    block_words = max(1, int(total // slots))
+    plan = stages.stage(block_plan(targets, block_words), "plan")
     # Equal rows are one place with all their words.
     keyed = rows.withColumn("key", F.struct("doc_id", "text_hash"))
     info = targets.withColumnRenamed("source", "named")
@@ -125,18 +152,19 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     places = joined.groupBy("key", "place", "source_size").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("copies"))
     places = places.select(F.col("place").alias("source_place"), F.to_json("key").alias("row"), "key", "size", "copies", "source_size")
     placed = place_documents(places, seed)
-    last = F.floor((F.col("first_word") + F.col("size") - 1) / block_words)
-    spread = placed.where("size > 0").select(
-        "source_place", "key", "first_word", "size", "copies", F.explode(F.sequence(F.floor(F.col("first_word") / block_words), last)).alias("block")
+    placed = placed.where("size > 0").join(plan.select("source_place", "block_words"), "source_place")
+    last = F.floor((F.col("first_word") + F.col("size") - 1) / F.col("block_words"))
+    spread = placed.select(
+        "source_place", "key", "first_word", "size", "copies", "block_words", F.explode(F.sequence(F.floor(F.col("first_word") / F.col("block_words")), last)).alias("block")
     )
-    begin = F.greatest(F.col("first_word"), F.col("block") * block_words)
-    end = F.least(F.col("first_word") + F.col("size"), (F.col("block") + 1) * block_words)
-    spread = spread.withColumn("words", end - begin)
-    blocks = targets.select(F.col("place").alias("source_place"), F.ceil(F.col("source_size") / block_words).alias("blocks"))
-    drawn = schedule(targets, block_words, seed).join(blocks, "source_place").where(f"rank < {most} * blocks")
-    drawn = drawn.groupBy("source_place", (F.col("rank") % F.col("blocks")).alias("block")).agg(F.count(F.lit(1)).alias("times"))
-    got = spread.join(drawn, ["source_place", "block"], "left").withColumn("times", F.coalesce("times", F.lit(0)))
-    got = got.groupBy("source_place", "key").agg(F.sum(F.col("words") * F.col("times")).alias("words_taken"), F.max("copies").alias("copies"))
+    spread = spread.withColumn("begin", F.greatest(F.col("first_word"), F.col("block") * F.col("block_words")))
+    spread = spread.withColumn("end", F.least(F.col("first_word") + F.col("size"), (F.col("block") + 1) * F.col("block_words")))
+    drawn = schedule(plan, seed).join(plan, "source_place").withColumn("block", F.col("rank") % F.col("blocks"))
+    final = F.col("rank") == F.col("need") - 1
+    drawn = drawn.groupBy("source_place", "block").agg(F.count_if(~final).alias("times"), F.max(F.when(final, F.col("last_end"))).alias("last_end"))
+    got = spread.join(drawn, ["source_place", "block"], "left")
+    words = (F.col("end") - F.col("begin")) * F.coalesce("times", F.lit(0)) + F.greatest(F.lit(0), F.least("end", F.coalesce("last_end", F.lit(0))) - F.col("begin"))
+    got = got.groupBy("source_place", "key").agg(F.sum(words).alias("words_taken"), F.max("copies").alias("copies"))
     # Equal rows share what is taken: each gets the same number, the remainder falls away.
     got = got.select(F.col("source_place").alias("place"), F.col("key").alias("of"), F.floor(F.col("words_taken") / F.col("copies")).alias("taken"))
     out = joined.join(got, F.expr("key <=> of") & (joined["place"] == got["place"]), "left")
