@@ -201,6 +201,27 @@ def test_toxicity_held_out(spark):
     assert all(0 <= r.score <= 1 for r in empty)
 
 
+def test_toxicity_of_rare_insults(spark):
+    """An insult in 1.6 % of many toxic texts is learned, and held-out texts with no other are found."""
+    draw = random.Random(8)
+    words = ["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(3000)]
+    rows, rare = [], 0
+    for i in range(4000):
+        toxic = i % 4 == 0
+        text = [draw.choice(words) for _ in range(25)]
+        if toxic:
+            rare += (few := i % 260 == 0)
+            text.insert(draw.randint(1, 24), "zwurmix" if few else draw.choice(["krontolo", "vlistup", "pquotzy"]))
+        rows.append((i, " ".join(text), int(toxic)))
+    new = [(10_000 + i, " ".join([draw.choice(words) for _ in range(12)] + ["zwurmix"] + [draw.choice(words) for _ in range(12)]), 1) for i in range(20)]
+    table = spark.createDataFrame(rows + new, "doc_id LONG, text STRING, toxic INT")
+    labels = table.where("doc_id < 10000").select("doc_id", "toxic")
+    assert rare < 0.02 * 1000
+    left = {r.doc_id for r in toxicity.clean_documents(table.drop("toxic"), labels).collect()}
+    assert not left & {i for i, _, _ in new}
+    assert len(left & {i for i, _, t in rows if not t}) >= 0.99 * 3000
+
+
 def test_repeated_spans(docs, odd, texts):
     seen, want = set(), {}
     for i, t in enumerate(texts):

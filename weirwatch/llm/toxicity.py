@@ -38,9 +38,8 @@ SAMPLE = 20_000
 ENTRIES = 4_000
 EVIDENCE = 14.0
 STEMS = range(4, 9)
-#: Different contexts in toxic texts that an entry needs: a number, and for each toxic text.
+#: Different contexts in toxic texts that an entry needs, however many texts are learned from.
 LEAST_CONTEXTS = 5
-LEAST_SHARE = 0.02
 #: Entries of at least so many characters match within one edit.
 FUZZY_LENGTH = 5
 WINDOW = 6
@@ -282,8 +281,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     stages.small_batches(spark)
     contexts = rows.select("text", "toxic").mapInArrow(count, "entry long, context long, t long").distinct()
     contexts = contexts.groupBy("entry").agg(F.sum("t").alias("a"), F.sum(1 - F.col("t")).alias("b"))
-    least = max(LEAST_CONTEXTS, LEAST_SHARE * n_toxic)
-    firm = contexts.withColumn("e", _evidence(F.col("a"), F.col("b"), p)).where((F.col("e") >= EVIDENCE) & (F.col("a") >= least) & (F.col("a") >= 5 * p / (1 - p) * F.col("b"))).collect()
+    firm = contexts.withColumn("e", _evidence(F.col("a"), F.col("b"), p)).where((F.col("e") >= EVIDENCE) & (F.col("a") >= LEAST_CONTEXTS) & (F.col("a") >= 5 * p / (1 - p) * F.col("b"))).collect()
     # Shorter beginnings say what longer ones say; of equal evidence the more special entry is kept.
     chosen: list[str] = []
     texts_of = {loose[r.entry]: (r.a, r.b) for r in firm}
