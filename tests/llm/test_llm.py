@@ -146,6 +146,34 @@ def test_boilerplate_depletes(spark):
     assert all(kept[i] == bool(i % 2) for i in kept)
 
 
+def test_boilerplate_is_removed(spark, docs, odd, texts):
+    draw = random.Random(4)
+    rare = lambda: " ".join("".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(30))
+    texts = ["\n".join([" Home  | Login\t7", rare(), "", "  " + rare() + "\r", "home | LOGIN 88", "Only three", "ÉTÉ Σ 5"]) for _ in range(6)]
+    rows = [(i, t, "h") for i, t in enumerate(texts)] + [(9, texts[0], "h"), (10, texts[0], "other"), (11, texts[1], None), (12, None, "h"), (13, "Home | Login 1", "h")]
+    rows += [(20 + i, f"only  THREE\n{rare()}\n", "h") for i in range(3)]
+    table = spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING").repartition(3)
+
+    def normal(line):
+        return re.sub("[0-9]+", "0", re.sub("[\x20\t\x0b\x0c\r]+", " ", line).strip(" ").lower())
+
+    having = {}
+    for _, t, h in rows:
+        for line in (t or "").split("\n"):
+            having.setdefault((h, normal(line)), set()).add(t)
+    got = {r.doc_id: r for r in line_quality.cleaned_documents(table, limit=5).collect()}
+    assert len(got) == len(rows)
+    for i, t, h in rows:
+        lines = (t or "").split("\n")
+        out = [not (normal(x) and len(having[h, normal(x)]) > 5) for x in lines]
+        assert got[i].text == "\n".join(x for x, stays in zip(lines, out) if stays)
+        assert got[i].n_removed_words == sum(len(WORD.findall(x)) for x, stays in zip(lines, out) if not stays)
+    assert got[0].text != texts[0] and got[10].text == texts[0]
+    measures = lambda rs: sorted(str([r[c] for c in ("doc_id", *line_quality.MEASURES)]) for r in rs)
+    assert measures(got.values()) == measures(line_quality.quality(table, limit=5).collect())
+    assert line_quality.cleaned_documents(odd).count() == odd.count()
+
+
 def test_main_text():
     model = html_tree.learn(html_tree.labelled_pages())
     page = "<body><nav><a href=/>Home</a></nav><article><h1>A &amp; B</h1><p>First  one<br>here.<p><b>Second, and more.</article><div class=ad>Buy this.</div><footer>&copy; us</footer>"

@@ -4,7 +4,8 @@ Lines are normalised (ASCII lower case, runs of digits as one 0, runs of white
 space as one space, trimmed) and hashed. A line's frequency is the number of
 different texts of a host that have it; a document's host is its source, and
 exact copies of a text count once, so that copying a page doesn't make its lines
-boilerplate. Lines above the limit are removed; a document that loses more than
+boilerplate. Lines above the limit are removed from the text, the others stay as
+they are and in order; a document that loses more than
 ``DEPLETED`` of its words to this is rejected, and so is one that fails the
 base rules.
 """
@@ -24,6 +25,7 @@ DEPLETED = 0.5
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words")
 _WHITE = "\t\n\x0b\f\r"
 
 
@@ -84,20 +86,29 @@ def base_measures(docs: DataFrame) -> DataFrame:
     )
 
 
-def document_lines(docs: DataFrame) -> DataFrame:
-    """host, text_id, line (hashes) and n, the line's words, of every line with a word, from (host, text)."""
-    rest = F.lower("text")
+def _text_id(text: str = "text") -> Column:
+    return F.xxhash64(F.xxhash64(text), F.md5(text))
+
+
+def _untrimmed_lines(text: str = "text") -> Column:
+    """The lines of a text, normalised but for white space at their ends; as many as ``split`` by newlines gives."""
+    rest = F.lower(text)
     for char in _WHITE.replace("\n", ""):
         rest = F.replace(rest, F.lit(char), F.lit(" "))
     rest = F.when(F.contains(rest, F.lit("  ")), F.regexp_replace(rest, " +", " ")).otherwise(rest)
-    rows = docs.select("host", F.xxhash64(F.xxhash64("text"), F.md5("text")).alias("text_id"), F.split(F.regexp_replace(rest, "[0-9]+", "0"), "\n").alias("all"))
+    return F.split(F.regexp_replace(rest, "[0-9]+", "0"), "\n")
+
+
+def document_lines(docs: DataFrame) -> DataFrame:
+    """host, text_id, line (hashes) and n, the line's words, of every line with a word, from (host, text)."""
+    rows = docs.select("host", _text_id().alias("text_id"), _untrimmed_lines().alias("all"))
     rows = rows.select("host", "text_id", F.explode("all").alias("raw")).select("host", "text_id", F.trim("raw").alias("line")).where("line <> ''")
     n_words = F.octet_length("line") - F.octet_length(_without(F.col("line"), " ")) + 1
     return rows.select("host", "text_id", F.xxhash64("line").alias("line"), n_words.cast("long").alias("n"))
 
 
 def boilerplate_words(docs: DataFrame, limit: int = LIMIT, share: float = LIMIT_SHARE) -> DataFrame:
-    """host, text_id, removed: words in boilerplate lines, of every text that has such a line; from (host, text).
+    """host, text_id, boilerplate (line hashes) and removed (their words) of every text that has such a line; from (host, text).
 
     Every line counts with the texts of its own host alone.
     """
@@ -108,20 +119,39 @@ def boilerplate_words(docs: DataFrame, limit: int = LIMIT, share: float = LIMIT_
     frequent = frequent.join(size, F.expr("host <=> h")).where(F.col("texts_with") > share * F.col("texts"))
     frequent = frequent.select(F.col("host").alias("fh"), F.col("line").alias("fl"))
     hit = lines.join(frequent, F.expr("line = fl and host <=> fh"), "left_semi")
-    return hit.groupBy("host", "text_id").agg(F.sum("n").alias("removed"))
+    found = hit.groupBy("host", "text_id").agg(F.collect_list("line").alias("boilerplate"), F.sum("n").alias("removed"))
+    # Words were added up over all copies of a text, which have the same lines.
+    copies = docs.select(F.col("host").alias("ch"), _text_id().alias("ct")).groupBy("ch", "ct").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    found = found.join(copies, F.expr("text_id = ct and host <=> ch"), "left")
+    return found.select("host", "text_id", "boilerplate", F.expr("removed div coalesce(copies, 1)").alias("removed"))
 
 
-def quality(docs: DataFrame, limit: int = LIMIT, share: float = LIMIT_SHARE, depleted: float = DEPLETED) -> DataFrame:
-    """doc_id, the base measures, n_removed_words, base_failed and kept of every row of ``docs``.
+def _cleaned(text: str, boilerplate: str) -> Column:
+    """A text without the lines of the given hashes; a text without such a line is as it was."""
+    hashes = F.transform(_untrimmed_lines(text), lambda x: F.xxhash64(F.trim(x)))
+    marked = F.arrays_zip(F.split(text, "\n").alias("raw"), F.transform(hashes, lambda h: F.array_contains(boilerplate, h)).alias("out"))
+    rest = F.array_join(F.transform(F.filter(marked, lambda x: ~x["out"]), lambda x: x["raw"]), "\n")
+    return F.when(F.col(boilerplate).isNull(), F.col(text)).otherwise(rest)
+
+
+def cleaned_documents(docs: DataFrame, limit: int = LIMIT, share: float = LIMIT_SHARE, depleted: float = DEPLETED) -> DataFrame:
+    """doc_id, cleaned text, the base measures of the raw text, n_removed_words, base_failed and kept of every row of ``docs``.
 
-    Null text has no word. A text without words fails. Null is a host of its
-    own. Repeated rows get equal results. Other columns are left out.
+    ``text`` has no boilerplate line any more, also where ``kept`` is false; all
+    other lines, blank ones too, are as they were. Null text is empty and has no
+    word. A text without words fails. Null is a host of its own. Repeated rows
+    get equal results. Other columns are left out.
     """
     rows = stages.texts(docs, "source").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("source").cast("string").alias("host"))
-    measured = base_measures(rows.withColumn("t", F.xxhash64(F.xxhash64("text"), F.md5("text")))).drop("text")
-    removed = boilerplate_words(rows, limit, share).select(F.col("host").alias("rh"), F.col("text_id").alias("rt"), "removed")
+    measured = base_measures(rows.withColumn("t", _text_id()))
+    removed = boilerplate_words(rows, limit, share).select(F.col("host").alias("rh"), F.col("text_id").alias("rt"), "boilerplate", "removed")
     out = measured.join(removed, F.expr("t = rt and host <=> rh"), "left").withColumn("n_removed_words", F.coalesce("removed", F.lit(0)))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     out = out.withColumn("base_failed", failed)
     kept = ~F.col("base_failed") & (F.col("n_removed_words") <= depleted * F.col("n_words"))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "n_removed_words")
+    return out.select("doc_id", _cleaned("text", "boilerplate").alias("text"), *MEASURES[:-2], kept.alias("kept"), "n_removed_words")
+
+
+def quality(docs: DataFrame, limit: int = LIMIT, share: float = LIMIT_SHARE, depleted: float = DEPLETED) -> DataFrame:
+    """``cleaned_documents`` without the texts, which then aren't made."""
+    return cleaned_documents(docs, limit, share, depleted).select("doc_id", *MEASURES)
