@@ -344,3 +344,23 @@ def test_language_model(docs, odd, texts):
     held = [r for r in got.values() if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
     assert language_model.score_texts(odd).count() == len(texts) + 4 and language_model.score_texts(docs.limit(0)).count() == 0
+
+
+def test_pairs_after_rare_words_count(spark):
+    """A held-out text with the pairs of words that training has once to three times beats the same words in another order."""
+    is_held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    train, held = ([i for i in range(2000) if is_held(i) == h] for h in (False, True))
+    rows, at = [], iter(train)
+    for times in (1, 2, 3):
+        for k in range(0, 60, 6):
+            rows += [(next(at), " ".join(f"a{times}x{j} b{times}x{j} filler" for j in range(k, k + 6))) for _ in range(times)]
+    new = {}
+    for times in (1, 2, 3):
+        for order, text in (("as seen", "a{0}x{1} b{0}x{1} filler"), ("turned", "b{0}x{1} a{0}x{1} filler")):
+            new[times, order] = held[len(new)]
+            rows.append((new[times, order], " ".join(text.format(times, j) for j in range(0, 60, 7))))
+    got = {r.doc_id: r for r in language_model.score_texts(spark.createDataFrame(rows, "doc_id LONG, text STRING")).collect()}
+    for times in (1, 2, 3):
+        seen, turned = got[new[times, "as seen"]], got[new[times, "turned"]]
+        assert seen.held_out and turned.held_out and math.isclose(seen.base_score, turned.base_score)
+        assert seen.score > turned.score + 5

@@ -32,10 +32,10 @@ from weirwatch.llm.words import blocks, mix, text_bytes, word_hashes
 CHUNK_BYTES = 8 << 20
 #: Keys of a bucket, about.
 BUCKET_KEYS = 1 << 20
-#: Contexts that training has less often give no pair estimate.
-LEAST_CONTEXT = 4
+#: Contexts that training has less often give no pair estimate: those that it doesn't have.
+LEAST_CONTEXT = 1
 #: A context of count c belongs to the class of the last bound that is not above c.
-CONTEXT_BOUNDS = (4, 8, 16, 32, 64, 128, 512, 2048, 8192, 65536)
+CONTEXT_BOUNDS = (1, 2, 3, 4, 8, 16, 32, 64, 128, 512, 2048, 8192, 65536)
 #: Steps of log2 in which estimates are counted for learning the weights.
 STEPS = 4
 _END, _START = np.uint64(1), np.uint64(2)
@@ -199,11 +199,15 @@ _TOTALS = "chunk long, bucket long, totals binary, class long, x long, y long, w
 
 
 def _deleted(count: np.ndarray, context: np.ndarray, word: np.ndarray, total: int) -> list[tuple[int, int, int, int]]:
-    """How many training tokens have which pair and word estimate, in steps, once they themselves are left out."""
+    """How many training tokens have which pair and word estimate, in steps, once they themselves are left out.
+
+    Their class is that of the context's count without them, as a held-out text
+    finds it; so contexts seen twice teach the weight of contexts seen once.
+    """
     pair = np.where(count > 1, (count - 1) / np.maximum(context - 1, 1), 0.0)
     single = np.where(word > 1, (word - 1) / max(total - 1, 1), 0.0)
     step = lambda p: np.where(p > 0, np.round(STEPS * np.log2(np.maximum(p, 1e-30))), 1_000).astype(np.int64)
-    kind = np.searchsorted(CONTEXT_BOUNDS, np.round(context), "right")
+    kind = np.searchsorted(CONTEXT_BOUNDS, np.round(context) - 1, "right")
     rows, which = np.unique(np.stack([kind, np.minimum(step(pair), 1_000), step(single)]), axis=1, return_inverse=True)
     weight = np.bincount(which.ravel(), weights=count)
     return [(int(a), int(b), int(c), int(w)) for (a, b, c), w in zip(rows.T, weight)]
@@ -231,7 +235,7 @@ def learn_weights(pair: np.ndarray, single: np.ndarray, flat: float, weight: np.
 
 @dataclass(frozen=True)
 class Model:
-    """Counts over the training texts, and the mixture of each class of contexts; class 0 is that of rare contexts."""
+    """Counts over the training texts, and the mixture of each class of contexts; class 0 is that of contexts not seen."""
 
     n_tokens: int
     n_known: int
