@@ -612,5 +612,7 @@ def oracle_sql() -> dict[str, str]:
             WHEN k % 10 = 2 THEN 'blank' ELSE 'entry' END AS kind FROM t)
           SELECT kind, count(*) AS lines FROM lines WHERE kind <> 'blank' GROUP BY kind""",
         "streaming_ip_windows": f"{FEATURES} {FEATURE_SELECT}",
+        "streaming_live_counters": f"""{FEATURES} SELECT {TS.format('ws')} AS window_start, ip_hash, request_count,
+          unique_endpoint_count, suspicious_path_count, error_count, round(max_latency_ms, 6) AS max_latency_ms FROM feat""",
         "stored_feature_table": f"{FEATURES} {FEATURE_SELECT}",
     }

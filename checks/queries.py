@@ -719,6 +719,19 @@ def streaming_ip_windows(spark, sf_dir):
     return printable(stored.drop("log_date"))
 
 
+@query
+def streaming_live_counters(spark, sf_dir):
+    """Counts per window and client kept by a stream of files that land in any order, among broken lines."""
+    root = scratch_path(spark, "counters")
+    entries = _plain_entries(spark, sf_dir).select("value")
+    broken = entries.limit(3).select(F.concat("value", F.lit("}")).alias("value"))
+    entries.unionByName(broken).repartition(6).write.text(f"{root}/landed")
+    jobs.start_live_counters(
+        jobs.stream_lines(spark, f"{root}/landed", 2), f"{root}/logs", f"{root}/counters", f"{root}/refused", adapter.SALT, f"{root}/checkpoint"
+    ).awaitTermination()
+    return printable(jobs.read_counters(spark, f"{root}/counters"))
+
+
 def _plain_entries(spark, sf_dir) -> DataFrame:
     """Raw entries that give exactly the adapted request log."""
     logs = adapter.request_logs(spark, sf_dir).join(

@@ -202,6 +202,33 @@ def test_live_counters(spark, folder):
     assert (0, 4, 2, 1, 1) in got
 
 
+def test_live_counters_over_batches_in_any_order(spark, folder):
+    import os
+
+    os.mkdir(f"{folder}/in")
+    run = lambda: jobs.start_live_counters(
+        jobs.stream_lines(spark, f"{folder}/in", 1), f"{folder}/logs", f"{folder}/counts", f"{folder}/refused", "salt", f"{folder}/cp"
+    ).awaitTermination()
+    counts = lambda: {
+        (r.window_start.minute, r.request_count, r.unique_endpoint_count, r.suspicious_path_count, r.error_count)
+        for r in jobs.read_counters(spark, f"{folder}/counts").collect()
+    }
+    # The latest first, a file a batch.
+    land(f"{folder}/in", "c", [entry(59, 0, "k10"), "broken {", ""])
+    run()
+    land(f"{folder}/in", "b", [entry(40, 0, "k9"), json.dumps({"protoPayload": {"ip": "c1"}})])
+    run()
+    land(f"{folder}/in", "a", [entry(0, 1, "k1"), entry(0, 2, "k1"), entry(0, 3, "k2", path="/.env", status=404), entry(4, 59, None), entry(4, 59, None)])
+    run()
+    assert counts() == {(0, 4, 2, 1, 1), (40, 1, 1, 0, 0), (55, 1, 1, 0, 0)}
+    refused = spark.read.parquet(f"{folder}/refused").collect()
+    assert sorted((r.reason, r.file_path[-1]) for r in refused) == [("no timestamp", "b"), ("not one JSON object", "c")]
+    # A request that comes again at another time leaves its old window.
+    land(f"{folder}/in", "d", [entry(50, 0, "k9")])
+    run()
+    assert counts() == {(0, 4, 2, 1, 1), (50, 1, 1, 0, 0), (55, 1, 1, 0, 0)}
+
+
 def test_refresh_uses_a_snapshot(spark, folder):
     logs = adapter.request_logs(spark, SF_DIR)
     path = f"{folder}/logs"

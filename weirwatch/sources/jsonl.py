@@ -41,7 +41,7 @@ def scan_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def _is_blank(line: Column) -> Column:
+def is_blank(line: Column) -> Column:
     return F.trim(F.translate(line, "\t\r\n\f", "    ")) == ""
 
 
@@ -54,7 +54,7 @@ def read_entries(spark: SparkSession, path: str | list[str], mode: str = "failfa
     """
     if mode not in ("failfast", "quarantine"):
         raise ValueError(f"unknown mode: {mode}")
-    lines = scan_lines(spark, path).where(~_is_blank(F.col("value")))
+    lines = scan_lines(spark, path).where(~is_blank(F.col("value")))
     good = is_json_object(F.col("value"))
     if mode == "failfast":
         where = F.concat(
@@ -80,7 +80,7 @@ def bad_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         "before", F.sum("n").over(along.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("n")
     )
     value = F.col("value")
-    bad = lines.where(~_is_blank(value) & ~is_json_object(value))
+    bad = lines.where(~is_blank(value) & ~is_json_object(value))
     return bad.join(splits, ["file_path", "block_start"]).select(
         "file_path",
         (F.col("before") + F.col("scan_id") - F.col("first_id") + 1).alias("line_number"),

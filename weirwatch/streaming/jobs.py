@@ -19,26 +19,31 @@ from weirwatch.operators.window_features import (
     ip_window_features,
 )
 from weirwatch.session import materialize
-from weirwatch.sources.jsonl import is_json_object
+from weirwatch.functions.identity import hash_entity
+from weirwatch.sources.jsonl import is_blank, is_json_object
 from weirwatch.sources.raw import request_rows
-from weirwatch.sources.tables import DAY, load_request_logs, read_table, upsert, with_day
+from weirwatch.sources.tables import DAY, REQUEST_KEYS, load_request_logs, read_table, table_exists, upsert, with_day
 
 
-def stream_entries(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
-    """Raw entries of JSON-lines files as they land; other lines are left out.
+def stream_lines(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """All lines of files as they land.
 
     There is no row limit, only an optional number of files per batch.
     """
     reader = spark.readStream.format("text")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    lines = reader.load(folder).select(
+    return reader.load(folder).select(
         "value",
         F.col("_metadata.file_modification_time").alias("modified"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
     )
-    return lines.where(is_json_object(F.col("value")))
+
+
+def stream_entries(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """Raw entries of JSON-lines files as they land; other lines are left out."""
+    return stream_lines(spark, folder, files_per_batch).where(is_json_object(F.col("value")))
 
 
 def _batch_requests(batch: DataFrame, salt: str) -> DataFrame:
@@ -139,8 +144,8 @@ def live_counters(rows: DataFrame, window: str = FIVE_MINUTES) -> DataFrame:
     """Counts per window and client as windows close, in append mode.
 
     Rows of one batch count in any order. Over several batches a row later than
-    the watermark is lost here, as in every append stream; ``start_ingest`` keeps
-    such rows and refreshes their windows.
+    the watermark is lost here, as in every append stream; ``start_live_counters``
+    keeps such rows and refreshes their windows.
 
     The first aggregation is keyed by template too, so the state of a hot
     client is spread out; the second one only adds those rows up, and its row
@@ -171,3 +176,87 @@ def live_counters(rows: DataFrame, window: str = FIVE_MINUTES) -> DataFrame:
         F.max("slowest").alias("max_latency_ms"),
     )
     return per_client.select(F.col("w.start").alias("window_start"), *per_client.columns[1:])
+
+
+COUNTERS = ("request_count", "unique_endpoint_count", "suspicious_path_count", "error_count")
+
+
+def window_counters(rows: DataFrame, window: str = FIVE_MINUTES) -> DataFrame:
+    """The counts of ``live_counters`` from a table that holds a request once."""
+    per_template = (
+        rows.where(F.col("ip_hash").isNotNull())
+        .groupBy(window_start(F.col("timestamp"), window).alias("window_start"), "ip_hash", "endpoint_template")
+        .agg(
+            F.count("*").alias("n"),
+            F.count_if("has_suspicious_path_pattern").alias("suspicious"),
+            F.count_if(F.col("status_family").isin("4xx", "5xx")).alias("errors"),
+            F.max("latency_ms").alias("slowest"),
+        )
+    )
+    return per_template.groupBy("window_start", "ip_hash").agg(
+        F.sum("n").alias("request_count"),
+        F.count("endpoint_template").alias("unique_endpoint_count"),
+        F.sum("suspicious").alias("suspicious_path_count"),
+        F.sum("errors").alias("error_count"),
+        F.max("slowest").alias("max_latency_ms"),
+    )
+
+
+def refresh_counters(spark: SparkSession, log_path: str, counter_path: str, windows: DataFrame, window: str = FIVE_MINUTES) -> None:
+    """Count the given windows anew from the log table; a client that left a window gets counts of 0."""
+    last = F.to_date(F.col("window_start") + F.expr(f"interval {window}") - F.expr("interval 1 microsecond"))
+    days = [r.d for r in windows.select(F.explode(F.sequence(F.to_date("window_start"), last)).alias("d")).distinct().collect()]
+    if not days:
+        return
+    logs = read_table(spark, log_path).where(F.col(DAY).isin(days)).withColumn("window_start", window_start(F.col("timestamp"), window))
+    fresh = window_counters(logs.join(windows, "window_start", "left_semi").drop("window_start"), window)
+    if table_exists(spark, counter_path):
+        keys = ["window_start", "ip_hash"]
+        gone = read_table(spark, counter_path).join(windows, "window_start", "left_semi").join(fresh.select(*keys), keys, "left_anti")
+        zero = [F.lit(0).cast("long").alias(c) for c in COUNTERS]
+        fresh = fresh.unionByName(gone.select(*keys, *zero, F.lit(None).cast(dict(fresh.dtypes)["max_latency_ms"]).alias("max_latency_ms")))
+    upsert(spark, counter_path, with_day(fresh, "window_start"), ["window_start", "ip_hash"], partition_by=DAY)
+
+
+def start_live_counters(lines: DataFrame, log_path: str, counter_path: str, refused_path: str, salt: str, checkpoint: str, window: str = FIVE_MINUTES) -> StreamingQuery:
+    """Counts per window and client after every batch, whatever the order of rows and batches.
+
+    Rows go to the log table by key, and the windows that they touch, or that a
+    replaced row leaves, are counted anew from it: no row is too late. Lines that
+    are no JSON object, and requests without a time, go to ``refused_path`` with
+    file, block, reason and salted hash of the line; a batch that is run again
+    writes them to the same place. ``lines`` comes from ``stream_lines``.
+    """
+
+    def load(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch = materialize(batch.where(~is_blank(F.col("value"))).withColumn("scan_id", F.monotonically_increasing_id()), "stream-lines")
+        entries = batch.where(is_json_object(F.col("value")))
+        entries = entries.withColumn("load_order", F.struct("modified", "file_path", "block_start", "scan_id"))
+        rows = materialize(request_rows(entries.select("value", "load_order"), salt, keep=("load_order",)), "stream-batch")
+        untimed = rows.where(F.col("timestamp").isNull()).select(F.col("load_order.scan_id").alias("scan_id"))
+        refused = batch.where(~is_json_object(F.col("value"))).withColumn("reason", F.lit("not one JSON object"))
+        refused = refused.unionByName(batch.join(untimed, "scan_id", "left_semi").withColumn("reason", F.lit("no timestamp")).select(refused.columns))
+        refused.select("file_path", "block_start", "reason", hash_entity(F.col("value"), salt).alias("line_hash")).write.mode("overwrite").parquet(f"{refused_path}/batch={number}")
+        rows = rows.where(F.col("timestamp").isNotNull())
+        if rows.isEmpty():
+            return
+        windows = affected_windows(rows, window)
+        if table_exists(spark, log_path):
+            replaced = read_table(spark, log_path).join(rows.select(*REQUEST_KEYS), REQUEST_KEYS, "left_semi")
+            windows = windows.unionByName(affected_windows(replaced, window)).distinct()
+        windows = materialize(windows, "stream-windows")
+        load_request_logs(spark, rows, log_path)
+        refresh_counters(spark, log_path, counter_path, windows, window)
+
+    return (
+        lines.writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_counters(spark: SparkSession, counter_path: str) -> DataFrame:
+    """The counts as they are now."""
+    return read_table(spark, counter_path).where("request_count > 0").drop(DAY)
