@@ -320,6 +320,19 @@ def test_mixing_of_small_sources_in_large_blocks(spark):
             assert sum(r.taken for r in rs) == round(rs[0].target)
 
 
+def test_mixed_parts_are_as_they_were(spark):
+    texts = [f" \tx{i} é\n\n  " + "\r\n".join(f"y{i}  {j}\t" for j in range(40)) for i in range(9)]
+    rows = [(i, t, "ab"[i > 1]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING")
+    taken = {r.doc_id: r for r in mixing.mix(docs).collect()}
+    parts = 0
+    for r in mixing.mixed_documents(docs).collect():
+        if r.text != texts[r.doc_id]:
+            parts += 1
+            assert texts[r.doc_id].startswith(r.text) and len(WORD.findall(r.text)) == taken[r.doc_id].part and WORD.search(r.text[-1])
+    assert parts == sum(r.part > 0 for r in taken.values()) > 0
+
+
 def test_schedule_deals_every_slot_once(spark):
     plan = spark.createDataFrame([(0, 1, 90, 900, 9), (1, 1, 7, 7, 1), (2, 1, 1, 1, 1), (3, 1, 300, 333, 5)], "source_place INT, block_words LONG, blocks LONG, need LONG, last_end LONG")
     rows = mixing.schedule(plan).collect()

@@ -178,7 +178,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, all its columns as they are.
 
     A document of which the mix takes some words besides appears once more with
-    its first words only, as many as are taken, joined by single spaces. A
+    its text up to the last of the words that are taken, white space as it was. A
     document without words is kept once, so that mixing never filters by content.
     """
     chosen = mix(docs, **options).select(
@@ -188,7 +188,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     joined = keyed.join(chosen, F.expr("cast(doc_id as long) <=> m_id and m_text = m_hash and cast(source as string) <=> m_source"))
     copies = F.when(F.col("m_size") == 0, F.lit(1)).otherwise(F.col("m_whole") + (F.col("m_part") > 0).cast("int"))
     copied = joined.where(copies > 0).withColumn("m_copy", F.explode(F.sequence(F.lit(1), copies.cast("int"))))
-    words = F.filter(F.split(F.col("text"), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    cut = F.array_join(F.slice(words, 1, F.greatest(F.col("m_part"), F.lit(1)).cast("int")), " ")
+    # After so many splits the last piece is what follows the words; white space at the start makes one piece more.
+    led = F.regexp_like("text", F.lit("^[\\x20\\x09-\\x0D]")).cast("int")
+    pieces = F.split("text", "[\\x20\\x09-\\x0D]+", (F.greatest(F.col("m_part"), F.lit(1)) + 1 + led).cast("int"))
+    rest = F.length(F.element_at(pieces, -1))
+    cut = F.regexp_replace(F.substring(F.col("text"), F.lit(1), F.length("text") - rest), "[\\x20\\x09-\\x0D]+$", "")
     text = F.when((F.col("m_copy") > F.col("m_whole")) & (F.col("m_size") > 0), cut).otherwise(F.col("text"))
     return copied.withColumn("text", text).select(*docs.columns)
