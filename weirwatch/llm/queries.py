@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirwatch.llm import decontaminate, html_tree, language_model, line_quality, mixing, near_dup, repeated_spans, secret_scan, token_ids, toxicity
+from weirwatch.llm import (
+    bpe_transducer, decontaminate, html_tree, language_model, line_quality, merkle, mixing, near_dup, periodic_runs, repeated_spans, secret_scan, stages,
+    token_ids, toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,9 +58,26 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.planted(table(spark, sf_dir, "documents"))
+    return periodic_runs.describe(periodic_runs.collapsed_documents(docs, texts=False))
+
+
+def op12_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return bpe_transducer.round_trips(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"), tampered=stages.crc_mod("doc_id", 7) == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_ids, op2_near_duplicates, op3_line_quality, op4_main_text, op5_toxicity, op6_repeated_spans, op7_secrets, op8_benchmark_leaks, op9_source_mix, op10_language_model,
+        op11_periodic_runs, op12_bpe_transducer, op13_merkle_manifest,
     )
 }
