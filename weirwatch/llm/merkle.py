@@ -10,15 +10,17 @@ row per node at every sixth level, linked to its parent: the siblings on the
 way up, bottom first, and where the next row is. Ranks within a language come
 from one range-partitioned sort, so a language may hold all rows.
 
-A proof is a recursive query: from each leaf it follows the parent links,
-appends the siblings that it passes, and folds its own hash with them. Its depth is a
-sixth of the tree's. Only hashes travel; texts are read once, where leaves
-are hashed.
+A proof is a recursive query: from the leaves of a block it follows the parent
+links, appends the siblings that it passes, and folds each leaf's own hash with
+them. The 64 leaves of a block share all siblings above it, so these are kept
+once a block and not once a leaf; the depth is a sixth of the tree's. Only
+hashes travel; texts are read once, where leaves are hashed.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,22 +80,19 @@ def _siblings(levels: Column, place: Column) -> Column:
     return F.transform(F.slice(levels, F.lit(1), F.size(levels) - 1), beside)
 
 
-def _round(nodes: DataFrame, carry: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Six levels of all trees of one height.
+def _round(nodes: DataFrame, carry: list[str], number: int) -> tuple[DataFrame, DataFrame]:
+    """Six levels of all trees.
 
     Takes nodes as ``tree``, ``place``, ``hash``, ``nodes`` (in the tree at this
-    level) and carried columns; gives the same rows with ``block`` and ``path``,
-    and the blocks' tops as nodes of the next round, with ``done`` where a tree
-    has come to its only one.
+    level) and carried columns. Gives the written blocks of 64 neighbours with
+    their ``levels``, and the blocks' tops as nodes of the next round, ``done``
+    where a tree has come to its only one.
     """
     block = F.shiftright("place", LEVELS).alias("block")
     gathered = nodes.groupBy("tree", block, "nodes").agg(F.sort_array(F.collect_list(F.struct("place", "hash", *carry))).alias("members"))
     bits = F.when(F.col("nodes") > 1, F.length(F.bin(F.col("nodes") - 1))).otherwise(0)
-    blocks = gathered.withColumn("levels", _levels(F.col("members.hash"), F.least(F.lit(LEVELS), bits)))
+    blocks = gathered.withColumns({"levels": _levels(F.col("members.hash"), F.least(F.lit(LEVELS), bits)), "round": F.lit(number)})
     blocks = stages.stage(blocks, "merkle-blocks")
-    rows = blocks.select("tree", "block", "nodes", "levels", F.posexplode("members").alias("at", "member"))
-    member = [F.col(f"member.{x}").alias(x) for x in ("place", "hash", *carry)]
-    rows = rows.select("tree", "block", "nodes", *member, _siblings(F.col("levels"), F.col("at")).alias("path"))
     tops = blocks.select(
         "tree",
         F.col("block").alias("place"),
@@ -101,35 +100,34 @@ def _round(nodes: DataFrame, carry: list[str]) -> tuple[DataFrame, DataFrame]:
         F.ceil(F.col("nodes") / (1 << LEVELS)).alias("nodes"),
         (F.col("nodes") <= 1 << LEVELS).alias("done"),
     )
-    return rows, tops
+    return blocks, tops
 
 
 def _build_trees(nodes: DataFrame, most: int, carry: list[str]) -> tuple[list[DataFrame], DataFrame]:
-    """All rounds of all trees, the largest of which has ``most`` nodes: rows with their ``round``, and the trees' tops."""
-    rounds, tops = [], []
+    """All rounds of all trees, the largest of which has ``most`` nodes: their blocks, and the trees' tops."""
+    rounds: list[DataFrame] = []
+    tops = None
     while True:
-        rows, above = _round(nodes, carry if not rounds else [])
-        rounds.append(rows.withColumn("round", F.lit(len(rounds))))
-        tops.append(above.where("done"))
+        blocks, above = _round(nodes, [] if rounds else carry, len(rounds))
+        rounds.append(blocks)
+        tops = above.where("done") if tops is None else tops.unionByName(above.where("done"))
         if most <= 1 << LEVELS:
-            break
+            return rounds, tops
         most = (most + (1 << LEVELS) - 1) >> LEVELS
         nodes = above.where("not done").drop("done")
-    found = tops[0]
-    for more in tops[1:]:
-        found = found.unionByName(more)
-    return rounds, found
 
 
 @dataclass
 class Manifest:
     """Stored levels of a tree of trees.
 
-    ``leaves`` are rows of the first level with their carried columns, ``nodes``
-    those of the levels above; both have the ``path`` of siblings up to the next
-    stored level, and the key of the row there as ``next_tree``, ``next_round``
-    and ``next_place``, null after the root. ``root`` is one row, or none for an
-    empty table.
+    ``leaves`` are the blocks of the first level: ``tree``, ``block``, up to 64
+    ``members`` with their hash and carried columns, and their ``levels``.
+    ``nodes`` are rows of the stored levels above: ``tree``, ``round``,
+    ``place``, ``hash`` and the ``path`` of siblings up to the next stored
+    level. Both have the key of the row there as ``next_tree``, ``next_round``
+    and ``next_place``, null after the root. ``root`` is one row, or none for
+    an empty table.
     """
 
     leaves: DataFrame
@@ -137,12 +135,19 @@ class Manifest:
     root: DataFrame
 
 
-def _linked(rows: DataFrame, last: tuple[Column, Column, Column]) -> DataFrame:
-    """Rows with the key of the row that their block's top is, or of what follows a finished tree."""
+def _linked(blocks: DataFrame, last: tuple[Column, Column, Column]) -> DataFrame:
+    """Blocks with the key of the row that their top is, or of what follows a finished tree."""
     ends = F.col("nodes") <= 1 << LEVELS
     on = (F.col("tree"), F.col("round") + 1, F.col("block"))
-    links = [F.when(ends, b).otherwise(a).alias(x) for x, a, b in zip(("next_tree", "next_round", "next_place"), on, last, strict=True)]
-    return rows.select("*", *links).drop("nodes", "block")
+    return blocks.withColumns({x: F.when(ends, b).otherwise(a) for x, a, b in zip(("next_tree", "next_round", "next_place"), on, last, strict=True)})
+
+
+def _node_rows(blocks: DataFrame) -> DataFrame:
+    rows = blocks.select("tree", "round", "next_tree", "next_round", "next_place", "levels", F.posexplode("members").alias("at", "member"))
+    return rows.select(
+        "tree", "round", F.col("member.place").alias("place"), F.col("member.hash").alias("hash"), _siblings(F.col("levels"), F.col("at")).alias("path"),
+        "next_tree", "next_round", "next_place",
+    )
 
 
 def build(leaves: DataFrame, order: list[Column], carry: list[str]) -> Manifest:
@@ -168,40 +173,55 @@ def build(leaves: DataFrame, order: list[Column], carry: list[str]) -> Manifest:
     upper, root = _build_trees(subroots, trees, [])
     to_top = (F.lit(TOP).cast("long"), F.lit(0), F.col("tree"))
     nowhere = (F.lit(None).cast("long"), F.lit(None).cast("int"), F.lit(None).cast("long"))
-    stored = [_linked(x, to_top) for x in rounds[1:]] + [_linked(x, nowhere) for x in upper]
-    above = stored[0]
-    for more in stored[1:]:
-        above = above.unionByName(more)
-    return Manifest(_linked(rounds[0], to_top), stages.stage(above, "merkle-nodes"), stages.stage(root.select("hash"), "merkle-root"))
+    nodes = reduce(DataFrame.unionByName, [_node_rows(_linked(x, to_top)) for x in rounds[1:]] + [_node_rows(_linked(x, nowhere)) for x in upper])
+    return Manifest(_linked(rounds[0], to_top), stages.stage(nodes, "merkle-nodes"), stages.stage(root.select("hash"), "merkle-root"))
+
 
+def _fold(path: str, start: str) -> str:
+    return f"""aggregate({path}, {start}, (h, s) -> sha2(
+        CASE WHEN s.hash IS NULL THEN h WHEN s.left THEN concat(s.hash, h) ELSE concat(h, s.hash) END, 256))"""
 
-_FOLD = """aggregate({path}, {start}, (h, s) -> sha2(
-    CASE WHEN s.hash IS NULL THEN h WHEN s.left THEN concat(s.hash, h) ELSE concat(h, s.hash) END, 256))"""
 
 CLIMB = f"""
-WITH RECURSIVE climb(doc_id, leaf, folded, proof, subroot, next_tree, next_round, next_place) AS (
-    SELECT doc_id, hash, {_FOLD.format(path="path", start="claim")}, array_join(path.hash, ''), CAST(NULL AS STRING),
-           next_tree, next_round, next_place
-    FROM {{leaves}}
+WITH RECURSIVE climb(tree, block, folded, proof, subroot, next_tree, next_round, next_place) AS (
+    SELECT tree, block, folded, '', CAST(NULL AS STRING), next_tree, next_round, next_place FROM {{starts}}
     UNION ALL
-    SELECT c.doc_id, c.leaf, {_FOLD.format(path="n.path", start="c.folded")}, concat(c.proof, array_join(n.path.hash, '')),
+    SELECT c.tree, c.block, transform(c.folded, f -> {_fold("n.path", "f")}), concat(c.proof, array_join(n.path.hash, '')),
            CASE WHEN n.tree = {TOP} AND n.round = 0 THEN n.hash ELSE c.subroot END,
            n.next_tree, n.next_round, n.next_place
     FROM climb c JOIN {{nodes}} n
       ON n.tree = c.next_tree AND n.round = c.next_round AND n.place = c.next_place
 )
-SELECT doc_id, leaf, subroot, (SELECT hash FROM {{root}}) AS root, sha2(proof, 256) AS proof_sha256, folded AS folded_root,
-       folded = (SELECT hash FROM {{root}}) AS verified
-FROM climb WHERE next_tree IS NULL
+SELECT tree, block, folded, proof, subroot, (SELECT hash FROM {{root}}) AS root FROM climb WHERE next_tree IS NULL
 """
 
 
 def verify(manifest: Manifest) -> DataFrame:
     """Climb from every leaf to the root and fold its ``claim`` with the siblings that lie beside the way."""
     spark = manifest.leaves.sparkSession
-    # The climb has a few rows for each leaf, whatever their number; its depth is that of the tree.
+    # The climb has a few rows for each block, whatever their number; its depth is that of the tree.
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    return spark.sql(CLIMB, leaves=manifest.leaves, nodes=manifest.nodes, root=manifest.root)
+    folded = F.transform("members", lambda m, i: F.aggregate(_siblings(F.col("levels"), i), m["claim"], _join_hashes))
+    starts = manifest.leaves.select("tree", "block", folded.alias("folded"), "next_tree", "next_round", "next_place")
+    ends = spark.sql(CLIMB, starts=starts, nodes=manifest.nodes, root=manifest.root)
+    met = manifest.leaves.select("tree", "block", "members", "levels").join(ends, ["tree", "block"])
+    rows = met.select("levels", "folded", "proof", "subroot", "root", F.posexplode("members").alias("at", "member"))
+    own = F.array_join(_siblings(F.col("levels"), F.col("at"))["hash"], "")
+    folded_root = F.get("folded", F.col("at"))
+    return rows.select(
+        F.col("member.doc_id").alias("doc_id"),
+        F.col("member.hash").alias("leaf"),
+        "subroot",
+        "root",
+        F.sha2(F.concat(own, "proof"), 256).alias("proof_sha256"),
+        folded_root.alias("folded_root"),
+        (folded_root == F.col("root")).alias("verified"),
+    )
+
+
+def _join_hashes(h: Column, sibling: Column) -> Column:
+    other = sibling["hash"]
+    return F.sha2(F.when(other.isNull(), h).when(sibling["left"], F.concat(other, h)).otherwise(F.concat(h, other)), 256)
 
 
 def audit(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
