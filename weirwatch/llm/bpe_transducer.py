@@ -21,6 +21,7 @@ automaton, composed per token beforehand, tells where a character is cut.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import itertools
 from collections.abc import Iterable, Iterator
@@ -44,100 +45,124 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Merges:
     """What the rank table says about tokens: which exist, which may grow, which may be neighbours."""
 
-    def __init__(self, ranks: dict[bytes, int], most: int = 2_000_000):
+    def __init__(self, ranks: dict[bytes, int], most: int = 1_000_000):
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"no token for the single bytes {missing}")
         self.ranks, self.most = ranks, most
+        #: What a token may still grow from.
         self.growing = {token[:n] for token in ranks for n in range(len(token))}
+        #: Tokens that merging their bytes gives; others are reached as whole pieces only.
+        self.usable = {token: rank for token, rank in ranks.items() if len(self.merged(token)) == 1}
         self._apart: dict[tuple[bytes, bytes], bool] = {}
-        self._whole: dict[bytes, bool] = {}
 
     def merged(self, data: bytes) -> list[bytes]:
         """Plain merging: the lowest rank first, the leftmost of equal ones. Only for short byte strings."""
+        rank, never = self.ranks.get, 1 << 62
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(a + b, len(self.ranks) << 8), i) for i, (a, b) in enumerate(itertools.pairwise(parts)))
-            if rank == len(self.ranks) << 8:
+        pairs = [rank(data[i : i + 2], never) for i in range(len(data) - 1)]
+        while pairs:
+            least = min(pairs)
+            if least == never:
                 break
+            at = pairs.index(least)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = rank(parts[at - 1] + parts[at], never)
+            if at < len(pairs):
+                pairs[at] = rank(parts[at] + parts[at + 1], never)
         return parts
 
-    def whole(self, token: bytes) -> bool:
-        """Whether merging the token's bytes gives the token; others are reached as whole pieces only."""
-        if token not in self._whole:
-            self._whole[token] = len(self.merged(token)) == 1
-        return self._whole[token]
-
     def apart(self, left: bytes, right: bytes) -> bool:
-        """Whether two tokens stay two when their bytes are merged alone."""
-        if not left:
-            return True
+        """Whether two tokens stay two when their bytes are merged alone; any token may come first."""
         known = self._apart.get((left, right))
         if known is None:
             if len(self._apart) >= self.most:
                 self._apart.clear()
-            known = self._apart[left, right] = self.merged(left + right) == [left, right]
+            known = self._apart[left, right] = not left or self.merged(left + right) == [left, right]
         return known
 
 
 class Transducer:
-    """The machine of one rank table; states are numbers, 0 the start."""
+    """The machine of one rank table; states are numbers, 0 the start.
+
+    A state is the token before the open bytes, these bytes, and its live
+    places in ascending order: where a token may start that is still growing,
+    the last token before, and the ids from the open bytes' begin up to there.
+    The last place is the end of what was read.
+    """
 
-    def __init__(self, ranks: dict[bytes, int], most: int = 100_000):
+    def __init__(self, ranks: dict[bytes, int], most: int = 200_000):
         self.merges, self.most = Merges(ranks), most
+        self.tokens = {rank: token for token, rank in ranks.items()}
+        self.bytes = [bytes((b,)) for b in range(256)]
         self._restart()
 
     def _restart(self) -> None:
         self.numbers: dict[tuple[bytes, bytes], int] = {}
-        self.states: list[tuple[bytes, bytes, dict[int, tuple[bytes, ...]]]] = []
+        self.states: list[tuple[bytes, bytes, list[tuple[int, bytes, tuple[int, ...]]]]] = []
         self.arcs: list[dict[int, tuple[int, tuple[int, ...]]]] = []
-        self.ends: list[tuple[int, ...]] = []
-        self._number(b"", b"", {0: ()})
+        self._number(b"", b"", [(0, b"", ())])
 
-    def _number(self, before: bytes, pending: bytes, chains: dict[int, tuple[bytes, ...]]) -> int:
+    def _number(self, before: bytes, text: bytes, live: list) -> int:
         """The state's number. ``before`` matters only while a token may still start right after it."""
-        if 0 not in chains:
-            before = b""
-        number = self.numbers.get((before, pending))
+        key = (b"" if live[0][0] else before, text)
+        number = self.numbers.get(key)
         if number is None:
-            number = self.numbers[before, pending] = len(self.states)
-            self.states.append((before, pending, chains))
+            number = self.numbers[key] = len(self.states)
+            self.states.append((before, text, live))
             self.arcs.append({})
-            self.ends.append(tuple(self.merges.ranks[t] for t in chains[len(pending)]))
         return number
 
+    def _end(self, places: list, text: bytes) -> tuple[int, bytes, tuple[int, ...]]:
+        """The place after the open bytes: exactly one last token fits, the longest is looked at first."""
+        ranks, known = self.merges.usable, self.merges._apart
+        for start, last, chain in places:
+            token = text[start:]
+            rank = ranks.get(token)
+            if rank is not None:
+                apart = known.get((last, token))
+                if apart or (apart is None and self.merges.apart(last, token)):
+                    return len(text), token, (*chain, rank)
+        raise AssertionError("single bytes are tokens, so some token fits")
+
     def _arc(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """Make the arc of a byte: the state it leads to and the ids that are settled by it."""
-        merges = self.merges
-        before, pending, chains = self.states[state]
-        text = pending + bytes([byte])
-        for start in sorted(chains):  # the longest candidate first; exactly one fits
-            token = text[start:]
-            if token in merges.ranks and merges.whole(token) and merges.apart(chains[start][-1] if chains[start] else before, token):
-                break
-        live = {at: chain for at, chain in chains.items() if text[at:] in merges.growing}
-        live[len(text)] = (*chains[start], token)
-        settled = 0
-        shortest = min(live.values(), key=len)
-        while settled < len(shortest) and all(chain[settled] == shortest[settled] for chain in live.values()):
-            settled += 1
-        out = shortest[:settled]
-        cut = sum(map(len, out))
-        target = (out[-1] if out else before, text[cut:], {at - cut: chain[settled:] for at, chain in live.items()})
+        before, text, places = self.states[state]
+        text += self.bytes[byte]
+        growing = self.merges.growing
+        live = [place for place in places if text[place[0] :] in growing]
+        live.append(self._end(places, text))
+        out = live[0][2]
+        if out and len(live) > 1:
+            settled = 0
+            for ids in zip(*[place[2] for place in live]):
+                if ids.count(ids[0]) < len(ids):
+                    break
+                settled += 1
+            out = out[:settled]
+        if out:
+            cut, before = sum([len(self.tokens[i]) for i in out]), self.tokens[out[-1]]
+            text = text[cut:]
+            live = [(start - cut, last, chain[len(out) :]) for start, last, chain in live]
         arcs = self.arcs[state]
         if len(self.states) >= self.most:
-            self._restart()  # the arc below then leaves a list that nothing reads any more
-        arcs[byte] = arc = self._number(*target), tuple(merges.ranks[t] for t in out)
+            self._restart()  # the arc below then lies in a list that nothing reads any more
+        arcs[byte] = arc = self._number(before, text, live), out
         return arc
 
     def feed(self, state: int, data: bytes, out: list[int]) -> int:
         """Read bytes from a state on, append the ids that are settled, and return the new state."""
+        arcs = self.arcs
         for byte in data:
-            arc = self.arcs[state].get(byte) or self._arc(state, byte)
-            state = arc[0]
-            if arc[1]:
-                out.extend(arc[1])
+            try:
+                state, ids = arcs[state][byte]
+            except KeyError:
+                state, ids = self._arc(state, byte)
+                arcs = self.arcs
+            if ids:
+                out += ids
         return state
 
     def encode_piece(self, data: bytes) -> list[int]:
@@ -146,29 +171,45 @@ class Transducer:
         if whole is not None:
             return [whole]
         out: list[int] = []
-        state = self.feed(0, data, out)
-        return out + list(self.ends[state])
+        if not data:
+            return out
+        state = self.feed(0, data[:-1], out)
+        arc = self.arcs[state].get(data[-1])
+        if arc is None:  # the last byte needs no state to go on from
+            _, text, places = self.states[state]
+            out.extend(self._end(places, text + data[-1:])[2])
+        else:
+            out.extend(arc[1])
+            out.extend(self.states[arc[0]][2][-1][2])
+        return out
+
+
+class _Pieces(dict):
+    """Pieces and their ids; a piece that is missing goes through the transducer."""
+
+    def __init__(self, transducer: Transducer, most: int):
+        self.transducer, self.most = transducer, most
+
+    def __missing__(self, piece: str) -> list[int]:
+        if len(self) >= self.most:
+            self.clear()
+        ids = self[piece] = self.transducer.encode_piece(piece.encode())
+        return ids
 
 
 class Encoder:
     """Texts to ids: the split pattern's matches, each through the transducer; repeated pieces once."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 400_000):
         import regex
 
-        self.pieces = regex.compile(pattern).findall
-        self.transducer, self.most = Transducer(ranks), most
-        self.known: dict[str, list[int]] = {}
+        self.split = regex.compile(pattern).findall
+        self.transducer = Transducer(ranks)
+        self.known = _Pieces(self.transducer, most)
 
     def __call__(self, text: str | None) -> list[int]:
         """The ids of a whole text; null is empty."""
-        pieces = self.pieces(text or "")
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        for piece in set(pieces).difference(known):
-            known[piece] = self.transducer.encode_piece(piece.encode())
-        return list(itertools.chain.from_iterable(map(known.__getitem__, pieces)))
+        return list(itertools.chain.from_iterable(map(self.known.__getitem__, self.split(text or ""))))
 
 
 #: States of the UTF-8 automaton: between characters, 1 to 3 bytes due, then after the lead
@@ -192,6 +233,7 @@ class Vocabulary:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.names = {rank: str(rank) for rank in self.tokens}
         steps = _utf8_steps()
         ids = np.array(sorted(self.tokens), np.int64)
         self.steps = np.full((9, int(ids.max()) + 1), _BROKEN, np.uint8)
@@ -248,6 +290,7 @@ _machines: dict[tuple[str, str], tuple[Encoder, Vocabulary]] = {}
 def machine(path: str, pattern: str) -> tuple[Encoder, Vocabulary]:
     """The encoder and vocabulary that all tasks of this Python worker share."""
     if (path, pattern) not in _machines:
+        gc.disable()  # the tables grow by many small objects without cycles; scanning them again and again takes a fifth of the time
         ranks = read_ranks(path)
         _machines[path, pattern] = Encoder(ranks, pattern), Vocabulary(ranks)
     return _machines[path, pattern]
@@ -288,7 +331,7 @@ def round_trips(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 back = hashlib.sha256()
                 for part in decode(vocabulary, ids):
                     back.update(part)
-                rows.append((len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), back.hexdigest()))
+                rows.append((len(ids), hashlib.sha256(" ".join(map(vocabulary.names.__getitem__, ids)).encode()).hexdigest(), back.hexdigest()))
             counts, encoded, decoded = zip(*rows) if rows else ((), (), ())
             columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
