@@ -183,7 +183,7 @@ def _add_up(table: pa.Table, learn: bool, total: int):
         seen = sums > 0
         figures = _deleted(sums[seen], _from_step(context[seen]), _from_step(word[seen]), total)
     ends = np.cumsum(sizes)
-    totals = sums[which].astype(np.uint32)
+    totals = sums[which].astype(np.uint64)  # a corpus may have more than 2^32 of a word
     rows = [(c, _squeeze(totals[e - s : e])) for c, s, e in zip(chunks, sizes, ends.tolist())]
     n, m = len(rows), len(figures)
     bucket = table.column("bucket")[0].as_py()
@@ -214,7 +214,7 @@ def _deleted(count: np.ndarray, context: np.ndarray, word: np.ndarray, total: in
 
 
 def _joined(parts: list[dict] | None) -> np.ndarray:
-    return np.concatenate([np.zeros(0, np.uint32), *[_expand(p["totals"], np.uint32) for p in parts or []]])
+    return np.concatenate([np.zeros(0, np.uint64), *[_expand(p["totals"], np.uint64) for p in parts or []]])
 
 
 def learn_weights(pair: np.ndarray, single: np.ndarray, flat: float, weight: np.ndarray, turns: int = 200) -> tuple[float, float, float]:
