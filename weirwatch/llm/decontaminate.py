@@ -161,6 +161,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> Data
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns as they are."""
-    found = leaks(docs, benchmark, percent).select(F.col("doc_id").alias("l_id"), F.col("text_hash").alias("l_hash")).distinct()
-    keyed = docs.withColumn("l_text", F.xxhash64(F.col("text").cast("string")))
-    return keyed.join(found, F.expr("cast(doc_id as long) <=> l_id and l_text = l_hash"), "left_anti").select(*docs.columns)
+    l_id, l_hash, l_text = stages.free_names(docs, "l_id", "l_hash", "l_text")
+    found = leaks(docs, benchmark, percent).select(F.col("doc_id").alias(l_id), F.col("text_hash").alias(l_hash)).distinct()
+    keyed = docs.withColumn(l_text, F.xxhash64(F.col("text").cast("string")))
+    return keyed.join(found, stages.same_row(l_id, l_hash, l_text), "left_anti").select(*stages.own_columns(docs))

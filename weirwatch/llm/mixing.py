@@ -181,17 +181,19 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     its text up to the last of the words that are taken, white space as it was. A
     document without words is kept once, so that mixing never filters by content.
     """
-    chosen = mix(docs, **options).select(
-        F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash"), F.col("source").alias("m_source"), F.col("size").alias("m_size"), F.col("whole").alias("m_whole"), F.col("part").alias("m_part")
-    ).distinct()
-    keyed = docs.withColumn("m_text", F.xxhash64(F.col("text").cast("string")))
-    joined = keyed.join(chosen, F.expr("cast(doc_id as long) <=> m_id and m_text = m_hash and cast(source as string) <=> m_source"))
-    copies = F.when(F.col("m_size") == 0, F.lit(1)).otherwise(F.col("m_whole") + (F.col("m_part") > 0).cast("int"))
-    copied = joined.where(copies > 0).withColumn("m_copy", F.explode(F.sequence(F.lit(1), copies.cast("int"))))
+    m_id, m_hash, m_text, m_source, m = stages.free_names(docs, "m_id", "m_hash", "m_text", "m_source", "m_mixed")
+    taken = F.struct("size", "whole", "part").alias(m)
+    chosen = mix(docs, **options).select(F.col("doc_id").alias(m_id), F.col("text_hash").alias(m_hash), F.col("source").alias(m_source), taken).distinct()
+    keyed = docs.withColumn(m_text, F.xxhash64(F.col("text").cast("string")))
+    joined = keyed.join(chosen, stages.same_row(m_id, m_hash, m_text) & F.col("source").cast("string").eqNullSafe(F.col(m_source)))
+    size, whole, part = (F.col(m)[x] for x in ("size", "whole", "part"))
+    copies = F.when(size == 0, F.lit(1)).otherwise(whole + (part > 0).cast("int"))
+    (m_copy,) = stages.free_names(joined, "m_copy")
+    copied = joined.where(copies > 0).withColumn(m_copy, F.explode(F.sequence(F.lit(1), copies.cast("int"))))
     # After so many splits the last piece is what follows the words; white space at the start makes one piece more.
     led = F.regexp_like("text", F.lit("^[\\x20\\x09-\\x0D]")).cast("int")
-    pieces = F.split("text", "[\\x20\\x09-\\x0D]+", (F.greatest(F.col("m_part"), F.lit(1)) + 1 + led).cast("int"))
+    pieces = F.split("text", "[\\x20\\x09-\\x0D]+", (F.greatest(part, F.lit(1)) + 1 + led).cast("int"))
     rest = F.length(F.element_at(pieces, -1))
     cut = F.regexp_replace(F.substring(F.col("text"), F.lit(1), F.length("text") - rest), "[\\x20\\x09-\\x0D]+$", "")
-    text = F.when((F.col("m_copy") > F.col("m_whole")) & (F.col("m_size") > 0), cut).otherwise(F.col("text"))
-    return copied.withColumn("text", text).select(*docs.columns)
+    text = F.when((F.col(m_copy) > whole) & (size > 0), cut).otherwise(F.col("text"))
+    return copied.withColumn("text", text).select(*stages.own_columns(docs))

@@ -49,6 +49,27 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def free_names(docs: DataFrame, *stems: str) -> list[str]:
+    """Names for columns of our own beside those of a user's table, whatever these are called."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in stems:
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def own_columns(docs: DataFrame) -> list[Column]:
+    """All columns of a user's table as they are, names with dots or ticks too."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
+def same_row(doc_id: str, text_hash: str, own_hash: str) -> Column:
+    """Whether a user's row, with its text's hash in ``own_hash``, is the row of a result."""
+    return F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id)) & (F.col(own_hash) == F.col(text_hash))
+
+
 def crc_mod(key: str, divisor: int) -> Column:
     """crc32 of a key as text, modulo; null for a null key."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % divisor

@@ -353,6 +353,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 def clean_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The rows of ``docs`` that are not predicted to be toxic, all columns as they are."""
     model = fit(docs, labels, sample)
-    found = score(docs, model).where("predicted = 1").select(F.col("doc_id").alias("x_id"), F.col("text_hash").alias("x_hash")).distinct()
-    keyed = docs.withColumn("x_text", F.xxhash64(F.col("text").cast("string")))
-    return keyed.join(found, F.expr("cast(doc_id as long) <=> x_id and x_text = x_hash"), "left_anti").select(*docs.columns)
+    x_id, x_hash, x_text = stages.free_names(docs, "x_id", "x_hash", "x_text")
+    found = score(docs, model).where("predicted = 1").select(F.col("doc_id").alias(x_id), F.col("text_hash").alias(x_hash)).distinct()
+    keyed = docs.withColumn(x_text, F.xxhash64(F.col("text").cast("string")))
+    return keyed.join(found, stages.same_row(x_id, x_hash, x_text), "left_anti").select(*stages.own_columns(docs))
