@@ -24,8 +24,9 @@ is compared with the bucket's hub, the member with most company in all its
 buckets. Linked classes then count as one. In later rounds the members of a
 bucket's smaller components (``PIVOTS`` at most) meet the members of other
 components; registers are compared in arrays, in portions of ``PORTION``
-members, and only likely pairs leave the task, each from the first band that it
-shares. Pivots have then met their whole bucket and leave it. Rounds go on
+members, likely pairs are compared there on their full sets, each in the first
+band that it shares, and a link leaves the task only where it joins two
+components: at most one a member. Pivots have then met their whole bucket and leave it. Rounds go on
 until no bucket holds two components, so every pair in a bucket is either
 compared or connected already.
 """
@@ -51,6 +52,8 @@ PERCENT = 75
 #: Members of a bucket's smaller components that meet all others in one round, and members that one task compares them with at once.
 PIVOTS = 256
 PORTION = 4096
+#: Elements of the sets that one task holds for these, pivots not counted.
+PORTION_ELEMENTS = 1 << 22
 #: Standard deviations by which an estimate may lie below the threshold.
 DEVIATIONS = 5
 
@@ -193,18 +196,47 @@ def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.filter(pa.array(keep)).select(["a", "b"])
 
 
+class _Joined:
+    """Which components a portion's links have joined."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def _top(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(y, y)
+            x = y
+        return x
+
+    def same(self, x: int, y: int) -> bool:
+        return self._top(int(x)) == self._top(int(y))
+
+    def join(self, x: int, y: int) -> None:
+        x, y = self._top(int(x)), self._top(int(y))
+        self.up[max(x, y)] = min(x, y)
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Likely pairs of a pivot and a member of another component, portion by portion; rows come sorted by band and portion."""
+    """Links of a pivot and a member of another component, portion by portion; rows come sorted by band and portion.
+
+    A link that only joins what this portion's links have joined before is left out.
+    """
 
     def compare(rows: pa.Table) -> pa.RecordBatch | None:
         names = ("band", "portion", "number", "node", "n", "component", "pivot")
         band, portion, number, node, n, component, pivot = (rows.column(c).to_numpy() for c in names)
         registers = _matrix(rows.column("registers").combine_chunks())
         edge = np.flatnonzero(np.concatenate([[True], (band[1:] != band[:-1]) | (portion[1:] != portion[:-1]), [True]]))
+        elements, offsets = text_bytes(rows.column("elements").combine_chunks())
+        elements, offsets = elements.view(np.uint64), offsets // 8
         found_a, found_b = [], []
         for x, y in zip(edge[:-1], edge[1:]):
             ps, ms = np.flatnonzero(pivot[x:y]) + x, np.flatnonzero(~pivot[x:y]) + x
             own = set(node[ps].tolist())
+            # Elements as numbers within the portion, so that a pivot's set is a bitmap.
+            names, spot = np.unique(elements[offsets[x] : offsets[y]], return_inverse=True)
+            marked = np.zeros(len(names), bool)
+            joined = _Joined()
             for p in ps:
                 q = ms[component[ms] != component[p]]
                 q = q[100 * np.minimum(n[q], n[p]) >= PERCENT * np.maximum(n[q], n[p])]
@@ -217,11 +249,18 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 # A pair is told by the first band it shares; two pivots tell it once.
                 shared = (registers[q][:, : BANDS * ROWS].reshape(-1, BANDS, ROWS) == registers[p][: BANDS * ROWS].reshape(BANDS, ROWS)).all(2)
                 q = q[shared.argmax(1) == number[p]]
-                q = [i for i in q.tolist() if node[i] not in own or node[p] < node[i]]
-                found_a += [int(node[p])] * len(q)
-                found_b += [int(node[i]) for i in q]
-        a, b = np.array(found_a, np.int64), np.array(found_b, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                mine = spot[offsets[p] - offsets[x] : offsets[p + 1] - offsets[x]]
+                marked[mine] = True
+                for i in q.tolist():
+                    if node[i] in own and node[p] > node[i] or joined.same(component[p], component[i]):
+                        continue
+                    both = int(marked[spot[offsets[i] - offsets[x] : offsets[i + 1] - offsets[x]]].sum())
+                    if 100 * both >= PERCENT * (int(n[p]) + int(n[i]) - both):
+                        joined.join(component[p], component[i])
+                        found_a.append(int(node[p]))
+                        found_b.append(int(node[i]))
+                marked[mine] = False
+        return pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
 
     held: pa.Table | None = None
     for batch in batches:
@@ -290,32 +329,33 @@ def _first_pairs(buckets: DataFrame) -> DataFrame:
     return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
-def _next_pairs(buckets: DataFrame, linked: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Likely pairs of different components, and the buckets that remain after these.
+def _next_links(buckets: DataFrame, linked: DataFrame, classes: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links that join different components, and the buckets that remain after these.
 
     Pivots are members of a bucket's smaller components, ``PIVOTS`` at most, and
     never of its largest.
     """
     state = buckets.join(linked, "node", "left").select("band", "number", "node", "n", F.coalesce("component", "node").alias("component"))
-    parts = state.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size"))
+    parts = state.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("elements"))
     rising = Window.partitionBy("band").orderBy("size", "component")
     parts = parts.withColumn("before", F.coalesce(F.sum("size").over(rising.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    parts = parts.withColumn("next", F.lead("size").over(rising)).withColumn("members", F.sum("size").over(Window.partitionBy("band")))
-    parts = parts.where(f"next is not null and before < {PIVOTS}").select("band", "component", "before", F.ceil(F.col("members") / PORTION).alias("portions"))
+    parts = parts.withColumn("next", F.lead("size").over(rising)).withColumns({x: F.sum(y).over(Window.partitionBy("band")) for x, y in (("members", "size"), ("weight", "elements"))})
+    parts = parts.where(f"next is not null and before < {PIVOTS}").select("band", "component", "before", F.ceil(F.greatest(F.col("members") / PORTION, F.col("weight") / PORTION_ELEMENTS)).alias("portions"))
     chosen = state.join(parts, ["band", "component"])
     chosen = chosen.withColumn("rank", F.row_number().over(Window.partitionBy("band", "component").orderBy("node"))).where(f"rank <= {PIVOTS}")
     pivots = stages.stage(chosen.where(f"before + rank <= {PIVOTS}").select(*state.columns, "portions"), "pivots")
     still = state.join(pivots.groupBy("band").agg(F.max("portions").alias("portions")), "band")
     members = still.withColumn("portion", F.pmod(F.xxhash64("node"), F.col("portions"))).withColumn("pivot", F.lit(False))
     guests = pivots.withColumn("portion", F.explode(F.sequence(F.lit(0).cast("long"), F.col("portions") - 1))).withColumn("pivot", F.lit(True))
-    rows = members.unionByName(guests).drop("portions").join(classes.select("node", "registers"), "node")
-    pairs = rows.repartition("band", "portion").sortWithinPartitions("band", "portion").mapInArrow(_meet, "a long, b long")
+    rows = members.unionByName(guests).drop("portions").join(classes.select("node", "registers"), "node").join(sets, "node")
+    found = rows.repartition("band", "portion").sortWithinPartitions("band", "portion").mapInArrow(_meet, "a long, b long")
     rest = still.join(pivots.select("band", "node"), ["band", "node"], "left_anti")
-    return stages.stage(pairs.distinct(), "pairs"), stages.stage(rest.select("band", "number", "node", "n"), "buckets")
+    found = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return stages.stage(found, "links"), stages.stage(rest.select("band", "number", "node", "n"), "buckets")
 
 
 def links(sketches: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All links between classes, and the classes: (a, b) of nodes, and (node, class, n_shingles, registers).
+    """The classes (node, class, n_shingles, registers), and the component of each node that is linked.
 
     A node is a hash of the class's digest; the class is represented by the row
     of its smallest doc_id.
@@ -338,13 +378,12 @@ def links(sketches: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     edges = _confirmed(stages.stage(sized.mapInArrow(_estimate, "a long, b long"), "pairs"), sets)
     linked = components(edges)
     while True:
-        pairs, buckets = _next_pairs(buckets, linked, classes)
-        new = _confirmed(pairs, sets)
+        new, buckets = _next_links(buckets, linked, classes, sets)
         if not new.isEmpty():
             edges = stages.stage(edges.union(new).distinct(), "links")
             linked = components(edges)
         if buckets.isEmpty():
-            return edges, classes, linked
+            return classes, linked
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -354,26 +393,22 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id, kept and n_links of every row of ``docs``.
+    """doc_id, text_hash, n_shingles, component_id and kept of every row of ``docs``.
 
     Texts are linked if 100 * intersection >= 75 * union of their sets;
     ``component_id`` is the smallest doc_id that can be reached, ``kept`` is true
-    for the row that has it, ``n_links`` counts the other classes that the
-    text's class is linked with directly, as far as they had to be compared.
-    Null and empty texts are linked with nothing. Texts of fewer than five words
+    for the row that has it. Null and empty texts are linked with nothing. Texts of fewer than five words
     have their whole sequence as one shingle. Equal rows give equal results. A
     row without doc_id takes part; its component may have no doc_id, and it is
     not kept unless alone. Other columns are left out.
     """
     sketches = stages.stage(describe(docs), "sketches")
-    edges, classes, linked = links(sketches, docs)
-    member = classes.select("class", "node").join(linked, "node", "left").select("class", "node", F.coalesce("component", "node").alias("part"))
-    ends = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    member = member.join(ends, "node", "left").select("class", "part", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    classes, linked = links(sketches, docs)
+    member = classes.select("class", "node").join(linked, "node", "left").select("class", F.coalesce("component", "node").alias("part"))
     rows = sketches.select("doc_id", "text_hash", "n_shingles", "class").join(member, "class", "left")
-    least = classes.join(member.select("class", "part"), "class").groupBy("part").agg(F.min("doc_id").alias("least"))
+    least = classes.join(member, "class").groupBy("part").agg(F.min("doc_id").alias("least"))
     rows = rows.join(least, "part", "left").withColumn("component_id", F.when(F.col("part").isNull(), F.col("doc_id")).otherwise(F.col("least")))
-    return rows.select("doc_id", "text_hash", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return rows.select("doc_id", "text_hash", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -383,9 +418,10 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     doc_id and text one stays.
     """
     found = near_duplicates(docs).where("kept").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n_rows"))
-    found = stages.stage(found.select(F.col("doc_id").alias("d_id"), F.col("text_hash").alias("d_hash"), (F.col("n_rows") > 1).alias("d_again")), "kept")
-    keyed = docs.withColumn("d_text", F.xxhash64(F.col("text").cast("string")))
-    joined = keyed.join(found, F.expr("cast(doc_id as long) <=> d_id and d_text = d_hash"))
-    once = joined.where("not d_again").select(*docs.columns)
+    d_id, d_hash, d_text, d_again = stages.free_names(docs, "d_id", "d_hash", "d_text", "d_again")
+    found = stages.stage(found.select(F.col("doc_id").alias(d_id), F.col("text_hash").alias(d_hash), (F.col("n_rows") > 1).alias(d_again)), "kept")
+    keyed = docs.withColumn(d_text, F.xxhash64(F.col("text").cast("string")))
+    joined = keyed.join(found, stages.same_row(d_id, d_hash, d_text))
+    once = joined.where(~F.col(d_again)).select(*stages.own_columns(docs))
     # Few rows, if any: only these are compared by their texts.
-    return once.unionByName(joined.where("d_again").dropDuplicates(["doc_id", "text"]).select(*docs.columns))
+    return once.unionByName(joined.where(d_again).dropDuplicates(["doc_id", "text"]).select(*stages.own_columns(docs)))
