@@ -317,7 +317,7 @@ def incremental_ingest(spark, sf_dir):
         until = span.a + (span.b - span.a) * part / 3
         export = entries.where(F.col("timestamp") <= F.lit(until)).select("value", "load_order")
         ingest.ingest_requests(
-            spark, export, f"{root}/logs", f"{root}/state", adapter.SALT, run_id=str(part)
+            spark, export, f"{root}/logs", f"{root}/state", adapter.SALT, run_id=str(part), freshness_minutes=None
         )
     stored = tables.read_table(spark, f"{root}/logs")
     # The module is printed by the entry or, for each fourth k, left to its fallback;

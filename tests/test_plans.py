@@ -221,7 +221,7 @@ def test_live_counters_over_batches_in_any_order(spark, folder):
     land(f"{folder}/in", "a", [entry(0, 1, "k1"), entry(0, 2, "k1"), entry(0, 3, "k2", path="/.env", status=404), entry(4, 59, None), entry(4, 59, None)])
     run()
     assert counts() == {(0, 4, 2, 1, 1), (40, 1, 1, 0, 0), (55, 1, 1, 0, 0)}
-    refused = spark.read.parquet(f"{folder}/refused").collect()
+    refused = jobs.read_refused(spark, f"{folder}/refused").collect()
     assert sorted((r.reason, r.file_path[-1]) for r in refused) == [("no timestamp", "b"), ("not one JSON object", "c")]
     # A request that comes again at another time leaves its old window.
     land(f"{folder}/in", "d", [entry(50, 0, "k9")])

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from weirwatch.fixed_values import FRESHNESS_MINUTES, OVERLAP_MINUTES
 from weirwatch.functions.casts import first_present, lenient_timestamp
+from weirwatch.functions.identity import hash_entity
+from weirwatch.session import materialize
 from weirwatch.sources.raw import request_rows
 from weirwatch.sources.tables import load_request_logs, read_table, table_exists, upsert
 
 STATE_KEYS = ["source_name"]
+MOMENT = "_moment"
 
 
 def entry_timestamp() -> Column:
@@ -49,12 +52,13 @@ def pull_since(
     No row limit: one that fell inside the overlap would stop the mark from
     ever moving on.
     """
+    return entries.where(entry_timestamp() >= _since(mark, overlap_minutes, freshness_minutes, now))
+
+
+def _since(mark: datetime | None, overlap_minutes: int, freshness_minutes: int, now: Column | None) -> Column:
     if mark is not None:
-        since = F.lit(mark) - F.make_dt_interval(mins=F.lit(overlap_minutes))
-    else:
-        now = F.current_timestamp() if now is None else now
-        since = now - F.make_dt_interval(mins=F.lit(freshness_minutes))
-    return entries.where(entry_timestamp() >= since)
+        return F.lit(mark) - F.make_dt_interval(mins=F.lit(overlap_minutes))
+    return (F.current_timestamp() if now is None else now) - F.make_dt_interval(mins=F.lit(freshness_minutes))
 
 
 def advance_mark(old: Column, new: Column) -> Column:
@@ -94,15 +98,35 @@ def ingest_requests(
     run_id: str = "",
     raw_path: str = "",
     overlap_minutes: int = OVERLAP_MINUTES,
+    freshness_minutes: int | None = FRESHNESS_MINUTES,
+    now: Column | None = None,
+    refused_path: str | None = None,
 ) -> int:
     """Pull, anonymise, generalise, upsert; then move the mark. Safe to repeat.
 
     ``entries`` has ``value`` and ``load_order``. Late entries inside the
-    overlap are pulled again and replace themselves by key.
+    overlap are pulled again and replace themselves by key. Where neither a
+    mark nor a log is stored, entries of the last ``freshness_minutes`` before
+    ``now`` are taken; None takes all, to fill a new table from the past.
+
+    An entry without a time that can be read is in no pull's range: such
+    entries go to the table ``refused_path``, each once; without that path they
+    fail the pull.
     """
     mark = high_water_mark(spark, state_path, log_path, source)
-    fresh = pull_since(entries, mark, overlap_minutes) if mark is not None else entries
-    loaded = load_request_logs(spark, request_rows(fresh, salt, keep=("load_order",)), log_path)
-    newest = fresh.agg(F.max(entry_timestamp()).alias("t")).first().t
+    timed = entries.withColumn(MOMENT, entry_timestamp())
+    fresh = timed
+    if mark is not None or freshness_minutes is not None:
+        fresh = timed.where(F.col(MOMENT) >= _since(mark, overlap_minutes, freshness_minutes, now))
+    fresh = materialize(fresh.where(F.col(MOMENT).isNotNull()), "pulled")
+    untimed = timed.where(F.col(MOMENT).isNull()).select(hash_entity(F.col("value"), salt).alias("line_hash"))
+    if refused_path:
+        refused = untimed.groupBy("line_hash").agg(F.count(F.lit(1)).alias("n_lines"))
+        named = refused.select(F.lit(source).alias("source_name"), F.lit("no timestamp").alias("reason"), "line_hash", "n_lines")
+        upsert(spark, refused_path, named, ["source_name", "reason", "line_hash"])
+    elif not untimed.isEmpty():
+        raise ValueError("an entry has no timestamp; pull refused")
+    loaded = load_request_logs(spark, request_rows(fresh.drop(MOMENT), salt, keep=("load_order",)), log_path)
+    newest = fresh.agg(F.max(MOMENT).alias("t")).first().t
     save_state(spark, state_path, source, newest, loaded, run_id, raw_path)
     return loaded

@@ -51,7 +51,7 @@ def build_features(
         except FileNotFoundError:
             continue
         rows = with_day(build(logs, window, tz), "window_start")
-        upsert(spark, wh.path(name), rows, keys, partition_by=DAY, rebuild=rebuild)
+        upsert(spark, wh.path(name), rows, keys, partition_by=DAY, rebuild=rebuild, part_of_key=True)
 
 
 def train(

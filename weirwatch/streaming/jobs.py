@@ -22,7 +22,7 @@ from weirwatch.session import materialize
 from weirwatch.functions.identity import hash_entity
 from weirwatch.sources.jsonl import is_blank, is_json_object
 from weirwatch.sources.raw import request_rows
-from weirwatch.sources.tables import DAY, REQUEST_KEYS, load_request_logs, read_table, table_exists, upsert, with_day
+from weirwatch.sources.tables import DAY, REQUEST_KEYS, load_request_logs, loaded_files, read_table, stored_matches, table_exists, upsert, with_day
 
 
 def stream_lines(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -46,11 +46,53 @@ def stream_entries(spark: SparkSession, folder: str, files_per_batch: int | None
     return stream_lines(spark, folder, files_per_batch).where(is_json_object(F.col("value")))
 
 
-def _batch_requests(batch: DataFrame, salt: str) -> DataFrame:
-    ordered = batch.withColumn("scan_id", F.monotonically_increasing_id()).select(
-        "value", F.struct("modified", "file_path", "block_start", "scan_id").alias("load_order")
-    )
-    return request_rows(ordered, salt, keep=("load_order",))
+REFUSED_KEYS = ["file_path", "modified", "reason", "line_hash"]
+
+
+def _batch_requests(lines: DataFrame, salt: str) -> tuple[DataFrame, DataFrame]:
+    """Request rows of a batch's lines, and lines that give none: (rows, refused).
+
+    Rows have a time and a ``load_order``. Refused are, per file, reason and
+    salted hash of the line, how often it was there: lines that are no JSON
+    object, and requests without a time that can be read.
+    """
+    lines = materialize(lines.where(~is_blank(F.col("value"))).withColumn("scan_id", F.monotonically_increasing_id()), "stream-lines")
+    entries = lines.where(is_json_object(F.col("value")))
+    ordered = entries.select("value", F.struct("modified", "file_path", "block_start", "scan_id").alias("load_order"))
+    rows = materialize(request_rows(ordered, salt, keep=("load_order",)), "stream-batch")
+    untimed = rows.where(F.col("timestamp").isNull()).select(F.col("load_order.scan_id").alias("scan_id"))
+    refused = lines.where(~is_json_object(F.col("value"))).withColumn("reason", F.lit("not one JSON object"))
+    refused = refused.unionByName(lines.join(untimed, "scan_id", "left_semi").withColumn("reason", F.lit("no timestamp")))
+    counted = refused.groupBy("file_path", "modified", "reason", hash_entity(F.col("value"), salt).alias("line_hash"))
+    return rows.where(F.col("timestamp").isNotNull()), counted.agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def _first_seen(rows: DataFrame, log_path: str, number: int) -> tuple[DataFrame, DataFrame]:
+    """Rows that a load may add, and ledger rows of the files that bring them.
+
+    A file lands whole in one batch, and its rows and its ledger row are
+    published in one step. So rows without a key, which no upsert can tell
+    apart, are left out where the table has their file: a batch that is run
+    again, or files that are read again by another run, count them once.
+    """
+    spark = rows.sparkSession
+    files = rows.select(F.col("load_order.file_path").alias("file_path"), F.col("load_order.modified").alias("modified")).distinct()
+    files = materialize(files.withColumn("batch", F.lit(number).cast("long")), "stream-files")
+    done = loaded_files(spark, log_path).select("file_path", "modified").join(files.select("file_path", "modified"), ["file_path", "modified"], "left_semi")
+    done = materialize(done.distinct(), "stream-known-files")
+    of = done.select(F.col("file_path").alias("of"), F.col("modified").alias("at"))
+    known = F.col("request_hash").isNull() & (F.col("load_order.file_path") == F.col("of")) & (F.col("load_order.modified") == F.col("at"))
+    return rows.join(of, known, "left_anti"), files.join(done, ["file_path", "modified"], "left_anti")
+
+
+def _store_refused(refused: DataFrame, path: str) -> None:
+    """Add refused lines; those of a file that was refused before are there already."""
+    upsert(refused.sparkSession, path, with_day(refused, "modified"), REFUSED_KEYS, keep="first", partition_by=DAY, part_of_key=True)
+
+
+def read_refused(spark: SparkSession, path: str) -> DataFrame:
+    """Refused lines: ``file_path``, ``modified``, ``reason``, ``line_hash``, ``n_lines``."""
+    return read_table(spark, path).drop(DAY)
 
 
 def affected_windows(rows: DataFrame, window: str = FIVE_MINUTES) -> DataFrame:
@@ -73,7 +115,6 @@ def refresh_windows(
     table windows refreshed at different times have seen different totals; a
     full rebuild is exact.
     """
-    logs = read_table(spark, log_path)
     # One value per day of a batch: a short list that prunes the partitions.
     # A window may run into later days.
     last = F.to_date(F.col("window_start") + F.expr(f"interval {window}") - F.expr("interval 1 microsecond"))
@@ -82,16 +123,16 @@ def refresh_windows(
     if not days:
         return 0
     inside = (
-        logs.where(F.col(DAY).isin(days))
+        read_table(spark, log_path, parts=days)
         .withColumn("window_start", window_start(F.col("timestamp"), window))
         .join(windows, "window_start", "left_semi")
         .drop("window_start")
     )
     if rarity is None:
-        rarity = endpoint_rarity(logs)
+        rarity = endpoint_rarity(read_table(spark, log_path))
     features = with_day(ip_window_features(inside, window, rarity=rarity), "window_start")
     return upsert(
-        spark, feature_path, features, ["window_start", "ip_hash"], partition_by=DAY
+        spark, feature_path, features, ["window_start", "ip_hash"], partition_by=DAY, part_of_key=True
     )
 
 
@@ -103,20 +144,29 @@ def start_ingest(
     feature_path: str | None = None,
     rarity: DataFrame | None = None,
     window: str = FIVE_MINUTES,
+    refused_path: str | None = None,
 ) -> StreamingQuery:
     """Upsert each batch into the log table and refresh the windows it touches.
 
     A batch that is run again after a failure replaces the same keys with the
-    same rows. The batch is written down once, so its rows are parsed once.
+    same rows, and adds no row without a key twice. With ``refused_path``, and
+    ``entries`` from ``stream_lines``, lines that are no JSON object and requests
+    without a time land in a table of their own; without it such a request
+    fails the load.
     """
 
-    def load(batch: DataFrame, _: int) -> None:
+    def load(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = materialize(_batch_requests(batch, salt), "stream-batch")
+        rows, refused = _batch_requests(batch, salt)
+        if refused_path:
+            _store_refused(refused, refused_path)
+        elif not (untimed := refused.where("reason = 'no timestamp'")).isEmpty():
+            raise ValueError(f"a log row has no timestamp; load refused: {untimed.first().file_path}")
         if rows.isEmpty():
             return
         windows = materialize(affected_windows(rows, window), "stream-windows")
-        load_request_logs(spark, rows, log_path)
+        rows, ledger = _first_seen(rows, log_path, number)
+        load_request_logs(spark, rows, log_path, ledger)
         if feature_path:
             refresh_windows(spark, log_path, feature_path, windows, rarity, window)
 
@@ -208,45 +258,38 @@ def refresh_counters(spark: SparkSession, log_path: str, counter_path: str, wind
     days = [r.d for r in windows.select(F.explode(F.sequence(F.to_date("window_start"), last)).alias("d")).distinct().collect()]
     if not days:
         return
-    logs = read_table(spark, log_path).where(F.col(DAY).isin(days)).withColumn("window_start", window_start(F.col("timestamp"), window))
+    logs = read_table(spark, log_path, parts=days).withColumn("window_start", window_start(F.col("timestamp"), window))
     fresh = window_counters(logs.join(windows, "window_start", "left_semi").drop("window_start"), window)
     if table_exists(spark, counter_path):
         keys = ["window_start", "ip_hash"]
-        gone = read_table(spark, counter_path).join(windows, "window_start", "left_semi").join(fresh.select(*keys), keys, "left_anti")
+        gone = read_table(spark, counter_path, parts=days).join(windows, "window_start", "left_semi").join(fresh.select(*keys), keys, "left_anti")
         zero = [F.lit(0).cast("long").alias(c) for c in COUNTERS]
         fresh = fresh.unionByName(gone.select(*keys, *zero, F.lit(None).cast(dict(fresh.dtypes)["max_latency_ms"]).alias("max_latency_ms")))
-    upsert(spark, counter_path, with_day(fresh, "window_start"), ["window_start", "ip_hash"], partition_by=DAY)
+    upsert(spark, counter_path, with_day(fresh, "window_start"), ["window_start", "ip_hash"], partition_by=DAY, part_of_key=True)
 
 
 def start_live_counters(lines: DataFrame, log_path: str, counter_path: str, refused_path: str, salt: str, checkpoint: str, window: str = FIVE_MINUTES) -> StreamingQuery:
     """Counts per window and client after every batch, whatever the order of rows and batches.
 
     Rows go to the log table by key, and the windows that they touch, or that a
-    replaced row leaves, are counted anew from it: no row is too late. Lines that
-    are no JSON object, and requests without a time, go to ``refused_path`` with
-    file, block, reason and salted hash of the line; a batch that is run again
-    writes them to the same place. ``lines`` comes from ``stream_lines``.
+    replaced row leaves, are counted anew from it: no row is too late, and none
+    counts twice when a batch or a file is read again. Refused lines go to
+    ``refused_path`` (``read_refused``). ``lines`` comes from ``stream_lines``.
     """
 
     def load(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        batch = materialize(batch.where(~is_blank(F.col("value"))).withColumn("scan_id", F.monotonically_increasing_id()), "stream-lines")
-        entries = batch.where(is_json_object(F.col("value")))
-        entries = entries.withColumn("load_order", F.struct("modified", "file_path", "block_start", "scan_id"))
-        rows = materialize(request_rows(entries.select("value", "load_order"), salt, keep=("load_order",)), "stream-batch")
-        untimed = rows.where(F.col("timestamp").isNull()).select(F.col("load_order.scan_id").alias("scan_id"))
-        refused = batch.where(~is_json_object(F.col("value"))).withColumn("reason", F.lit("not one JSON object"))
-        refused = refused.unionByName(batch.join(untimed, "scan_id", "left_semi").withColumn("reason", F.lit("no timestamp")).select(refused.columns))
-        refused.select("file_path", "block_start", "reason", hash_entity(F.col("value"), salt).alias("line_hash")).write.mode("overwrite").parquet(f"{refused_path}/batch={number}")
-        rows = rows.where(F.col("timestamp").isNotNull())
+        rows, refused = _batch_requests(batch, salt)
+        _store_refused(refused, refused_path)
         if rows.isEmpty():
             return
         windows = affected_windows(rows, window)
         if table_exists(spark, log_path):
-            replaced = read_table(spark, log_path).join(rows.select(*REQUEST_KEYS), REQUEST_KEYS, "left_semi")
+            replaced = stored_matches(spark, log_path, rows.select(*REQUEST_KEYS), REQUEST_KEYS)
             windows = windows.unionByName(affected_windows(replaced, window)).distinct()
         windows = materialize(windows, "stream-windows")
-        load_request_logs(spark, rows, log_path)
+        rows, ledger = _first_seen(rows, log_path, number)
+        load_request_logs(spark, rows, log_path, ledger)
         refresh_counters(spark, log_path, counter_path, windows, window)
 
     return (
