@@ -483,8 +483,8 @@ def oracle_sql() -> dict[str, str]:
           SELECT endpoint_group, has_suspicious_path_pattern, count(*) AS rows FROM (
             SELECT endpoint_group, has_suspicious_path_pattern FROM general
             UNION ALL SELECT endpoint_group, has_suspicious_path_pattern FROM req) GROUP BY ALL""",
-        "user_agent_category": f"""SELECT doc_id, {UA_CASE} AS category FROM (
-          SELECT doc_id, lower(text) AS t FROM documents WHERE text <> '')""",
+        "user_agent_category": f"""SELECT doc_id, CASE WHEN t <> '' THEN {UA_CASE} END AS category FROM (
+          SELECT doc_id, lower(text) AS t FROM documents)""",
         "hash_entities": f"""SELECT c_custkey, {ENTITY.format('c_name')} AS name_hash,
           {ENTITY.format('c_custkey')} AS key_hash FROM customer""",
         "event_identity": f"""WITH {EVENTS}, {APPS} SELECT level, 2 * count(*) AS rows,
@@ -499,8 +499,8 @@ def oracle_sql() -> dict[str, str]:
         "dedupe_last_write": UPSERTED.replace("ORDERING", "DESC"),
         "dedupe_first_write": UPSERTED.replace("ORDERING", "ASC"),
         "upsert_request_logs": UPSERTED.replace("ORDERING", "DESC"),
-        "insert_app_events": f"""WITH {EVENTS}, {APPS} SELECT user_id_hash, level, count(*) AS rows,
-          count(DISTINCT request_hash) AS requests FROM app GROUP BY ALL""",
+        "insert_app_events": f"""WITH {EVENTS}, {APPS} SELECT {TS_US.format('moment')} AS timestamp, level, event,
+          round(response_time_ms, 6) AS response_time_ms, user_id_hash, tenant_hash, request_hash, endpoint_template, has_error FROM app""",
         "endpoint_rarity": f"""{BASE} SELECT endpoint_template, count(*) AS endpoint_count,
           round(-ln(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE)), 9) AS endpoint_rarity
           FROM req GROUP BY endpoint_template""",
@@ -605,8 +605,19 @@ def oracle_sql() -> dict[str, str]:
         "high_water_mark": f"""WITH {EVENTS}, m AS (SELECT max(moment) AS mark FROM ev WHERE kind <> 'view')
           SELECT {TS_US.format('mark')} AS mark, {TS_US.format('mark - INTERVAL 5 MINUTE')} AS since,
             (SELECT count(*) FROM ev WHERE moment >= mark - INTERVAL 5 MINUTE) AS pulled_rows FROM m""",
-        "incremental_ingest": f"""WITH {EVENTS} SELECT {MODULE} AS source_module, count(*) AS rows,
-          count(DISTINCT event_id) AS requests, {TS_US.format('max(moment)')} AS newest FROM ev GROUP BY ALL""",
+        "incremental_ingest": f"""WITH {EVENTS} SELECT {TS_US.format('moment')} AS timestamp,
+          CASE WHEN k % 8 <> 0 THEN {ENTITY.format('event_id')} ELSE {ENTITY.format("('insert-' || event_id)")} END AS request_hash,
+          CASE WHEN k % 4 = 0 THEN 'fallback' ELSE {MODULE} END AS module_id, {METHOD} AS method, {STATUS} AS status_code,
+          {RAW_QUERY} AS has_sensitive_query_key FROM ev""",
+        "refused_lines": f"""WITH {EVENTS}, t AS (SELECT k % 10 AS m, CASE k % 10 WHEN 0 THEN event_id || ' {{' WHEN 1 THEN '[' || event_id || ']'
+            ELSE '{{"event": ' || event_id || '}}' END AS line FROM ev)
+          SELECT CASE WHEN m = 2 THEN 'no timestamp' ELSE 'not one JSON object' END AS reason, {ENTITY.format('line')} AS line_hash, count(*) AS n_lines
+          FROM t WHERE m < 3 GROUP BY ALL
+          UNION ALL SELECT 'loaded', NULL, count(*) FROM t WHERE m > 3""",
+        "scores_of_two_versions": f"""{SCORES} SELECT {TS.format('ws')} AS window_start, ip_hash, v.version AS model_version,
+          round(raw_decision_score * v.factor, 9) AS score FROM ranked, (VALUES ('001', 1.0), ('1', -1.0)) v(version, factor)""",
+        "maintained_rarity": f"""{FEATURES} SELECT {TS.format('ws')} AS window_start, ip_hash, request_count,
+          round(avg_endpoint_rarity, 6) AS avg_endpoint_rarity FROM feat""",
         "jsonl_scan": """WITH t AS (SELECT CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS k FROM events),
           lines AS (SELECT CASE WHEN k % 10 = 0 THEN 'Invalid JSON' WHEN k % 10 = 1 THEN 'Expected JSON object'
             WHEN k % 10 = 2 THEN 'blank' ELSE 'entry' END AS kind FROM t)

@@ -27,7 +27,7 @@ from weirwatch.operators.quantiles import exact_quantile
 from weirwatch.operators.ranking import min_max, normalize_and_rank
 from weirwatch.operators.threat import score_threats, threat_level_counts, threat_score
 from weirwatch.plans import evaluation as ev
-from weirwatch.plans import ingest, views
+from weirwatch.plans import frequencies, ingest, views
 from weirwatch.plans.pipeline import Warehouse, run_pipeline, train
 from weirwatch.plans.scenarios import scenarios
 from weirwatch.session import ensure_session, materialize, scratch_path
@@ -158,7 +158,7 @@ def endpoint_groups(spark, sf_dir):
 
 @query
 def user_agent_category(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").where(F.col("text") != "")
+    docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", urls.user_agent_category(F.col("text")).alias("category"))
 
 
@@ -280,9 +280,8 @@ def insert_app_events(spark, sf_dir):
     for _ in range(2):
         tables.load_app_logs(spark, logs, path)
     stored = tables.read_table(spark, path)
-    return stored.groupBy("user_id_hash", "level").agg(
-        F.count("*").alias("rows"), F.count_distinct("request_hash").alias("requests")
-    )
+    shown = ["level", "event", "response_time_ms", "user_id_hash", "tenant_hash", "request_hash", "endpoint_template", "has_error"]
+    return printable(stored.select(stamp("timestamp", True).alias("timestamp"), *shown))
 
 
 @query
@@ -320,26 +319,56 @@ def incremental_ingest(spark, sf_dir):
             spark, export, f"{root}/logs", f"{root}/state", adapter.SALT, run_id=str(part), freshness_minutes=None
         )
     stored = tables.read_table(spark, f"{root}/logs")
-    # The module is printed by the entry or, for each fourth k, left to its fallback;
-    # the key tells which event a row is.
-    event_key = F.when(
-        F.col("k") % 8 != 0, identity.hash_entity(F.col("event_id"), adapter.SALT)
-    ).otherwise(
-        identity.hash_entity(F.concat(F.lit("insert-"), F.col("event_id").cast("string")), adapter.SALT)
-    )
-    keys = entries.select(
-        event_key.alias("request_hash"),
-        F.when(F.col("k") % 2 == 0, F.lit("web")).otherwise(F.lit("worker")).alias("source_module"),
-    )
-    return (
-        stored.join(keys, "request_hash")
-        .groupBy("source_module")
-        .agg(
-            F.count("*").alias("rows"),
-            F.count_distinct("request_hash").alias("requests"),
-            stamp(F.max("timestamp"), True).alias("newest"),
-        )
+    shown = ["request_hash", "module_id", "method", "status_code", "has_sensitive_query_key"]
+    return stored.select(stamp("timestamp", True).alias("timestamp"), *shown)
+
+
+@query
+def refused_lines(spark, sf_dir):
+    """A stream of files with broken lines, read by two runs: what each refused, and no row without a key twice."""
+    root = scratch_path(spark, "refused")
+    k, event = F.col("k"), F.col("event_id").cast("string")
+    lines = adapter.read_events(spark, sf_dir).select(
+        F.when(k % 10 == 0, F.concat(event, F.lit(" {")))
+        .when(k % 10 == 1, F.concat(F.lit("["), event, F.lit("]")))
+        .when(k % 10 == 2, F.concat(F.lit('{"event": '), event, F.lit("}")))
+        .when(k % 10 == 3, F.lit("   "))
+        .otherwise(F.concat(F.lit('{"timestamp": "2024-01-01T00:00:00Z", "event": '), event, F.lit("}")))
+        .alias("value")
     )
+    lines.repartition(6).write.text(f"{root}/landed")
+    for run in ("first", "second"):
+        jobs.start_ingest(
+            jobs.stream_lines(spark, f"{root}/landed", 2), f"{root}/logs", adapter.SALT, f"{root}/{run}", refused_path=f"{root}/refused"
+        ).awaitTermination()
+    refused = jobs.read_refused(spark, f"{root}/refused").groupBy("reason", "line_hash").agg(F.sum("n_lines").alias("n_lines"))
+    loaded = tables.read_table(spark, f"{root}/logs").agg(F.count(F.lit(1)).alias("n_lines"))
+    return refused.unionByName(loaded.select(F.lit("loaded").alias("reason"), F.lit(None).cast("string").alias("line_hash"), "n_lines"))
+
+
+@query
+def scores_of_two_versions(spark, sf_dir):
+    """Scores of the versions "001" and "1" in one table, that of "001" loaded twice: two texts, one row a key."""
+    scores, _ = _scores(spark, sf_dir)
+    path = scratch_path(spark, "versions")
+    for version, factor in (("001", 5.0), ("1", -1.0), ("001", 1.0)):
+        rows = scores.select("window_start", "ip_hash", F.lit(version).alias("model_version"), (F.col("raw_decision_score") * factor).alias("score"))
+        tables.upsert(spark, path, rows, ["window_start", "ip_hash", "model_version"], partition_by="model_version")
+    return printable(tables.read_table(spark, path), 9)
+
+
+@query
+def maintained_rarity(spark, sf_dir):
+    """Window rarity kept up to date over three loads, the last of which moves requests; equal to a rebuild."""
+    root = scratch_path(spark, "frequencies")
+    logs = materialize(adapter.request_logs(spark, sf_dir).withColumn("load_order", F.col("timestamp")), "logs")
+    third = F.pmod(F.xxhash64("request_hash"), F.lit(3))
+    early = logs.withColumns({"timestamp": F.col("timestamp") - F.expr("interval 2 days"), "endpoint_template": F.lit("/elsewhere")})
+    at = frequencies.FrequencyTables(f"{root}/kept")
+    for load in (logs.where(third == 0).unionByName(early.where(third == 1)), logs.where(third == 2), logs.where(third == 1)):
+        tables.load_request_logs(spark, load, f"{root}/logs")
+        frequencies.refresh(spark, f"{root}/logs", at)
+    return printable(frequencies.window_rarity(spark, at))
 
 
 # --- profiles ----------------------------------------------------------------

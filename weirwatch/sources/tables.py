@@ -144,6 +144,35 @@ def upsert(
     return count
 
 
+def replace_parts(spark: SparkSession, path: str, rows: DataFrame, partition_by: str, parts: set) -> None:
+    """Put rows in the place of whole partitions; one of ``parts`` that no row has is empty then.
+
+    All rows must have a partition value of ``parts``, given as text.
+    """
+    old = snapshots.latest(spark, path)
+    data = snapshots.write_data(rows, path, partition_by)
+    beyond = {part for _, part in data} - parts
+    if beyond:
+        raise ValueError(f"rows of other partitions than were to be replaced: {sorted(map(str, beyond))[:5]}")
+    if old is None:
+        snapshots.publish(spark, None, snapshots.Snapshot(path, 0, rows.schema, partition_by, data))
+        return
+    stay = tuple((folder, part) for folder, part in old.data if part not in parts)
+    snapshots.publish(spark, old, replace(old, data=(*stay, *data)))
+
+
+def changed_since(spark: SparkSession, path: str, commit: int | None) -> tuple[int, set]:
+    """The number of the snapshot in force, and the partitions that differ from an earlier one.
+
+    All partitions where no earlier one is named or it was expired. Read from the manifests alone.
+    """
+    now = snapshots.latest(spark, path)
+    if now is None:
+        raise FileNotFoundError(f"no table at {path}")
+    then = None if commit is None else snapshots.latest(spark, path, commit)
+    return now.number, snapshots.changed_parts(then, now)
+
+
 def stored_matches(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """Stored rows that have a key of the incoming ones; only partitions that the index names are opened."""
     snapshot = snapshots.latest(spark, path)
