@@ -25,7 +25,8 @@ from weirwatch.fixed_values import (
     MODEL_NAME,
     REQUEST_FEATURES,
 )
-from weirwatch.operators.quantiles import exact_quantile
+from weirwatch.operators.whole_quantiles import whole_quantiles
+from weirwatch.session import materialize
 
 EULER_GAMMA = 0.5772156649015329
 _HASH_SPACE = 1 << 40
@@ -56,12 +57,13 @@ def parse_contamination(value: str | float) -> str | float:
 
 
 def feature_medians(features: DataFrame, columns: list[str] = REQUEST_FEATURES) -> DataFrame:
-    """Exact median per feature as ``(feature, median)``, nulls ignored."""
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns]
-    )
-    long = features.select(F.inline(pairs))
-    return exact_quantile(long, ["feature"], "value", 0.5, "median", levels=2)
+    """Exact median per feature as ``(feature, median)``, nulls ignored; a feature without a value is absent.
+
+    All features share the same few passes over the table, which run at once.
+    """
+    found = whole_quantiles(features, {c: (c, 0.5, "interpolated") for c in columns})
+    rows = [(c, m) for c, m in found.items() if m is not None]
+    return features.sparkSession.createDataFrame(rows, "feature STRING, median DOUBLE")
 
 
 def _vector(columns: list[str], medians: dict[str, float]) -> Column:
@@ -203,7 +205,8 @@ def fit_forest(
     forest = Forest(nodes, params, model_version)
     if contamination != "auto":
         training = raw_scores(features, forest).select(F.col("raw_decision_score").alias("s"))
-        cut = exact_quantile(training, [], "s", float(contamination), "cut", levels=2).first().cut
+        training = materialize(training, "training-scores")
+        cut = whole_quantiles(training, {"cut": ("s", float(contamination), "interpolated")})["cut"]
         params = params.withColumn("score_offset", F.col("score_offset") + F.lit(float(cut)))
         forest = Forest(nodes, params, model_version)
     return forest

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from weirwatch.fixed_values import TOP_VALUES
 from weirwatch.functions.casts import lenient_double, none_if_empty
-from weirwatch.operators.quantiles import exact_quantile
+from weirwatch.operators.whole_quantiles import whole_quantiles
 
 # What each kind of log reports: (metric, column).
 PROFILES = {
@@ -67,8 +67,8 @@ def _number(df: DataFrame, column: str) -> Column:
 
 def nearest_rank_p95(df: DataFrame, column: str, out: str = "p95") -> DataFrame:
     """Value at 0-based rank ``0.95 * (n - 1)``, rounded half to even."""
-    values = df.select(_number(df, column).alias("v"))
-    return exact_quantile(values, [], "v", 0.95, out, method="nearest", levels=2)
+    found = whole_quantiles(df, {out: (_number(df, column), 0.95, "nearest")})[out]
+    return df.sparkSession.createDataFrame([] if found is None else [(found,)], f"{out} DOUBLE")
 
 
 def profile(df: DataFrame, kind: str, dataset: str) -> DataFrame:
@@ -79,7 +79,7 @@ def profile(df: DataFrame, kind: str, dataset: str) -> DataFrame:
     if dict(df.dtypes)["timestamp"] == "string":
         stamp = F.try_to_timestamp(none_if_empty(stamp))
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-    tail = nearest_rank_p95(df, duration, "v").agg(F.max("v")).scalar()
+    tail = F.lit(whole_quantiles(df, {"v": (_number(df, duration), 0.95, "nearest")})["v"]).cast("double")
     metrics = [
         F.count("*").alias("row_count"),
         F.date_format(F.min(stamp), iso).alias("start_time"),

@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from weirwatch.operators.whole_quantiles import whole_quantiles
+
 # Buckets per e-fold of the value: about 60 for values up to ten thousand. More
 # would open fewer rows later but count into more groups first.
 _PER_EFOLD = 8
@@ -98,11 +100,14 @@ def exact_quantile(
 
     ``interpolated`` is the SQL ``percentile_cont``; ``nearest`` takes the value
     whose 0-based rank is ``p * (n - 1)`` rounded half to even. Rows with a null
-    key are left out; ``keys`` may be empty for the whole table. ``levels`` is how often a
-    bucket is split before its values are ranked: 1 does for measurements of
-    limited precision within a group, 2 for a whole table of doubles. Groups
-    without a value are absent.
+    key are left out. ``levels`` is how often a bucket is split before its values
+    are ranked: 1 does for measurements of limited precision within a group.
+    Groups without a value are absent. Without ``keys`` the quantile of the
+    whole table is found at once, by ``whole_quantiles``.
     """
+    if not keys:
+        found = whole_quantiles(df, {out: (value, p, method)})[out]
+        return df.sparkSession.createDataFrame([] if found is None else [(found,)], f"{out} DOUBLE")
     if method not in ("interpolated", "nearest"):
         raise ValueError(f"unknown method: {method}")
     if not 0.0 <= p <= 1.0:
@@ -112,8 +117,6 @@ def exact_quantile(
     # here keeps both uses of the counted rows one and the same shuffle.
     present = reduce(and_, [F.col(c).isNotNull() for c in [*keys, value]])
     rows = df.where(present).select(*keys, F.col(value).cast("double").alias("_v"))
-    if not group:
-        rows, group = rows.withColumn("_whole", F.lit(0)), ["_whole"]
 
     position = F.lit(p) * (F.col("_all") - 1)
     if method == "nearest":
