@@ -152,7 +152,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     places = joined.groupBy("key", "place", "source_size").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("copies"))
     places = places.select(F.col("place").alias("source_place"), F.to_json("key").alias("row"), "key", "size", "copies", "source_size")
     placed = place_documents(places, seed)
-    placed = placed.where("size > 0").join(plan.select("source_place", "block_words"), "source_place")
+    # Written, so that no plan has all of these steps: the driver keeps every version of it that adaptive execution makes.
+    placed = stages.stage(placed.where("size > 0").join(plan.select("source_place", "block_words"), "source_place"), "placed")
     last = F.floor((F.col("first_word") + F.col("size") - 1) / F.col("block_words"))
     spread = placed.select(
         "source_place", "key", "first_word", "size", "copies", "block_words", F.explode(F.sequence(F.floor(F.col("first_word") / F.col("block_words")), last)).alias("block")
@@ -162,7 +163,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     drawn = schedule(plan, seed).join(plan, "source_place").withColumn("block", F.col("rank") % F.col("blocks"))
     final = F.col("rank") == F.col("need") - 1
     drawn = drawn.groupBy("source_place", "block").agg(F.count_if(~final).alias("times"), F.max(F.when(final, F.col("last_end"))).alias("last_end"))
-    got = spread.join(drawn, ["source_place", "block"], "left")
+    got = spread.join(stages.stage(drawn, "drawn"), ["source_place", "block"], "left")
     words = (F.col("end") - F.col("begin")) * F.coalesce("times", F.lit(0)) + F.greatest(F.lit(0), F.least("end", F.coalesce("last_end", F.lit(0))) - F.col("begin"))
     got = got.groupBy("source_place", "key").agg(F.sum(words).alias("words_taken"), F.max("copies").alias("copies"))
     # Equal rows share what is taken: each gets the same number, the remainder falls away.
