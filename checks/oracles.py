@@ -6,6 +6,8 @@ values per event kind, counts and quantiles use the database's own functions.
 
 from __future__ import annotations
 
+from weirwatch.fixed_values import SCENARIO_COLUMNS, SCENARIOS
+
 EVENTS = """
 ev AS (
   SELECT event_id, user_id, event_type AS kind, value,
@@ -261,16 +263,13 @@ SELECT {ALERT_FIELDS}, m.module_id, m.endpoint_template, m.endpoint_group, m.sta
 FROM chosen t LEFT JOIN main_route m ON m.slot = t.ws AND m.client = t.ip_hash"""
 
 
-SCENARIO_ROWS = """
-scenario(i, scenario_name, is_attack_like, request_count, unique_endpoint_count, static_asset_count,
-         suspicious_path_count, error_count, off_hours) AS (VALUES
-  (1, 'endpoint_scanning', true, 220, 120, 0, 45, 200, false),
-  (2, 'suspicious_probe_off_hours', true, 140, 70, 0, 80, 110, true),
-  (3, 'request_burst_scan', true, 650, 90, 20, 20, 150, false),
-  (4, 'repeated_error_attempts', true, 180, 4, 0, 0, 160, false),
-  (5, 'static_asset_burst', false, 700, 12, 680, 0, 3, false),
-  (6, 'popular_endpoint_spike', false, 550, 3, 0, 0, 0, false),
-  (7, 'slow_backend_no_security_signal', false, 50, 5, 0, 0, 0, false)
+# The scenario table, as the library holds it.
+SCENARIO_VALUES = ",\n  ".join(
+    f"({i}, {', '.join(repr(v) if isinstance(v, str) else str(v).lower() for v in row)})" for i, row in enumerate(SCENARIOS, start=1)
+)
+SCENARIO_ROWS = f"""
+scenario(i, {', '.join(SCENARIO_COLUMNS)}) AS (VALUES
+  {SCENARIO_VALUES}
 ),
 quiet AS (
   SELECT ws, ip_hash FROM feat
@@ -315,6 +314,152 @@ evaluated AS (
   FROM judged
 )"""
 
+
+
+def forest_ctes(trees: int = 200, sample: int = 256, seed: int = 42) -> str:
+    """The isolation forest of all windows, one statement a level, as ``nodes``.
+
+    A tree takes the rows with the least draws, a linear function of the key's digest modulo 2^31 - 1; a node cuts a
+    feature with two values or more, chosen, like the place of the cut, by the digest of tree and node.
+    """
+    prime, levels = (1 << 31) - 1, (sample - 1).bit_length()
+    inputs = [f"round(coalesce(CAST({c} AS DOUBLE), (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM feat)), 6)" for c in IP_COLUMNS]
+    hexed = "CAST('0x' || substr({}, {}, {}) AS BIGINT)"
+    width = len(IP_COLUMNS)
+    steps = []
+    for d in range(levels + 1):
+        lows = ", ".join(f"min(x[{i}])" for i in range(1, width + 1))
+        highs = ", ".join(f"max(x[{i}])" for i in range(1, width + 1))
+        steps.append(f"""
+range_{d} AS MATERIALIZED (
+  SELECT tree, node, count(*) AS size, [{lows}] AS low, [{highs}] AS high, sha256('{seed}|node|' || tree || '|' || node) AS d
+  FROM rows_{d} GROUP BY tree, node
+),
+choice_{d} AS (
+  SELECT *, list_filter(range(1, {width + 1}), lambda i: high[i] > low[i]) AS usable,
+         (SELECT ceil(log2(greatest(2, least({sample}, count(*))))) FROM feat) AS deepest FROM range_{d}
+),
+picked_{d} AS (
+  SELECT *, CASE WHEN {d} < deepest AND size > 1 AND len(usable) > 0
+            THEN usable[1 + {hexed.format('d', 1, 7)} % greatest(len(usable), 1)] END AS f,
+         low[f] + {hexed.format('d', 8, 13)} / CAST({1 << 52} AS DOUBLE) * (high[f] - low[f]) AS place FROM choice_{d}
+),
+node_{d} AS MATERIALIZED (
+  SELECT tree, node, size, {d} AS depth, f, CASE WHEN place < high[f] THEN place ELSE low[f] END AS cut FROM picked_{d}
+),
+rows_{d + 1} AS MATERIALIZED (
+  SELECT r.tree, 2 * r.node + CASE WHEN r.x[n.f] <= n.cut THEN 1 ELSE 2 END AS node, r.x
+  FROM rows_{d} r JOIN node_{d} n USING (tree, node) WHERE n.f IS NOT NULL
+)""")
+    nodes = " UNION ALL ".join(f"SELECT * FROM node_{d}" for d in range(levels + 1))
+    numbers = ", ".join(f"{hexed.format('d', 1 + 7 * i, 7)} AS {n}" for i, n in enumerate(("a1", "b1", "c1", "a2", "b2", "c2")))
+    return f"""
+inputs AS MATERIALIZED (
+  SELECT *, [{', '.join(inputs)}] AS x, sha256(epoch_us(ws) || '|' || ip_hash || '|{seed}') AS d FROM feat
+),
+numbered AS (
+  SELECT ws, ip_hash, {hexed.format('d', 1, 7)} AS h1, {hexed.format('d', 8, 7)} AS h2, {hexed.format('d', 15, 15)} AS tie FROM inputs
+),
+factors AS (SELECT tree, {numbers} FROM (SELECT tree, sha256('{seed}|tree|' || tree) AS d FROM range({trees}) t(tree))),
+drawn AS MATERIALIZED (
+  SELECT tree, ws, ip_hash FROM numbered, factors QUALIFY row_number() OVER (PARTITION BY tree ORDER BY
+    (a1 * h1 + b1 * h2 + c1) % {prime} * {prime + 1} + (a2 * h1 + b2 * h2 + c2) % {prime}, tie) <= {sample}
+),
+rows_0 AS MATERIALIZED (SELECT tree, 0 AS node, x FROM drawn JOIN inputs USING (ws, ip_hash)),{','.join(steps)},
+nodes AS MATERIALIZED ({nodes})"""
+
+
+def path_ctes(rows: str, key: str, trees: int = 200, sample: int = 256) -> str:
+    """``paths``: the mean path of every row of ``rows``, with inputs ``x``, as a share of a search's in the sample."""
+    levels = (sample - 1).bit_length()
+    search = "CASE WHEN {0} > 2 THEN 2 * (ln({0} - 1) + 0.5772156649015329::DOUBLE) - 2 * ({0} - 1) / CAST({0} AS DOUBLE) WHEN {0} = 2 THEN 1 ELSE 0 END"
+    steps = [f"walk_0 AS (SELECT {key}, x, tree, 0 AS node FROM {rows}, range({trees}) t(tree))"]
+    for d in range(levels):
+        steps.append(f"""walk_{d + 1} AS MATERIALIZED (
+  SELECT {key}, x, tree, CASE WHEN f IS NULL THEN node WHEN x[f] <= cut THEN 2 * node + 1 ELSE 2 * node + 2 END AS node
+  FROM walk_{d} JOIN nodes USING (tree, node))""")
+    return f"""{', '.join(steps)},
+paths AS MATERIALIZED (
+  SELECT {key}, fsum(depth + {search.format('size')}) / {trees} / (SELECT {search.format('max(size)')} FROM nodes) AS path
+  FROM walk_{levels} JOIN nodes USING (tree, node) GROUP BY {key}
+)"""
+
+
+RANKED = """
+scaled AS (
+  SELECT *, (-raw_decision_score - min(-raw_decision_score) OVER ())
+            / (max(-raw_decision_score) OVER () - min(-raw_decision_score) OVER ()) AS anomaly_score FROM raw
+),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY anomaly_score DESC, ws, ip_hash) AS anomaly_rank, raw_decision_score < 0 AS is_anomaly FROM scaled
+)"""
+FOREST = f"{FEATURES}, {forest_ctes()}"
+WINDOW_PATHS = f"{FOREST}, {path_ctes('inputs', 'ws, ip_hash')}"
+FOREST_SCORES = f"""{WINDOW_PATHS},
+raw AS (SELECT feat.*, round(CAST(0.5 AS DOUBLE) - pow(2, -path), 10) AS raw_decision_score FROM feat JOIN paths USING (ws, ip_hash)),
+{RANKED}"""
+# The share of the windows taken as outliers moves the scores by their quantile.
+CUT_SCORES = f"""{WINDOW_PATHS},
+cut AS (SELECT quantile_cont(round(CAST(0.5 AS DOUBLE) - pow(2, -path), 10), 0.1) AS cut FROM paths),
+raw AS (
+  SELECT feat.*, round(-pow(2, -path) - (CAST(-0.5 AS DOUBLE) + cut), 10) AS raw_decision_score
+  FROM cut, feat JOIN paths USING (ws, ip_hash)
+),
+{RANKED}"""
+FOREST_THREATS = f"{FOREST_SCORES}, {threat_ctes('ranked', 'threats')}"
+FOREST_JUDGED = f"""{FOREST}, {SCENARIO_ROWS},
+judged_rows AS MATERIALIZED (
+  SELECT i * 1000 + j AS id, i, j, is_attack_like, {', '.join(IP_COLUMNS)},
+         [{', '.join(f'round(CAST({c} AS DOUBLE), 6)' for c in IP_COLUMNS)}] AS x FROM synthetic
+  UNION ALL
+  SELECT -row_number() OVER (ORDER BY ws, ip_hash), NULL, NULL, NULL, {', '.join(IP_COLUMNS)}, x FROM inputs
+),
+{path_ctes('judged_rows', 'id')},
+raw AS (SELECT r.*, round(CAST(0.5 AS DOUBLE) - pow(2, -path), 10) AS raw_decision_score FROM judged_rows r JOIN paths USING (id)),
+scaled AS (
+  SELECT *, raw_decision_score < 0 AS is_anomaly, (-raw_decision_score - min(-raw_decision_score) OVER ())
+            / (max(-raw_decision_score) OVER () - min(-raw_decision_score) OVER ()) AS anomaly_score FROM raw
+),
+{threat_ctes('(SELECT * FROM scaled WHERE i IS NOT NULL)', 'judged')},
+evaluated AS (
+  SELECT *, row_number() OVER (ORDER BY anomaly_score DESC, i, j) AS anomaly_rank,
+         row_number() OVER (ORDER BY threat_score DESC, i, j) AS threat_rank
+  FROM judged
+)"""
+
+# Metrics of both rankings and both flags of ``evaluated``.
+RANK_METRICS = """ranks AS (
+  SELECT 'anomaly_only' AS ranking_method, anomaly_rank AS r, is_attack_like FROM evaluated
+  UNION ALL SELECT 'anomaly_plus_threat_score', threat_rank, is_attack_like FROM evaluated
+),
+hits AS (
+  SELECT ranking_method, k_value, count(*) FILTER (WHERE is_attack_like AND r <= k_value) AS h,
+         least(k_value, count(*)) AS seen, count(*) FILTER (WHERE is_attack_like) AS attacks
+  FROM ranks, (VALUES (10), (20), (50), (100), (200), (300)) ks(k_value) GROUP BY ranking_method, k_value
+),
+rank_metrics AS (
+  SELECT ranking_method, 'precision_at_k' AS metric_name, k_value, round(h / CAST(seen AS DOUBLE), 9) AS metric_value FROM hits
+  UNION ALL SELECT ranking_method, 'recall_at_k', k_value, round(h / CAST(attacks AS DOUBLE), 9) FROM hits
+)"""
+FLAG_METRICS = """flags AS (
+  SELECT 'anomaly_only_flag' AS ranking_method, is_anomaly AS p, is_attack_like AS a FROM evaluated
+  UNION ALL SELECT 'threat_score_flag', is_security_relevant, is_attack_like FROM evaluated
+),
+table_of_four AS (
+  SELECT ranking_method, CAST(count(*) FILTER (WHERE p AND a) AS DOUBLE) AS tp,
+         CAST(count(*) FILTER (WHERE p AND NOT a) AS DOUBLE) AS fp, CAST(count(*) FILTER (WHERE NOT p AND a) AS DOUBLE) AS fn,
+         CAST(count(*) FILTER (WHERE NOT p AND NOT a) AS DOUBLE) AS tn FROM flags GROUP BY ranking_method
+),
+flag_metrics AS (
+  SELECT ranking_method, metric_name, 0 AS k_value, round(v, 9) AS metric_value FROM (UNPIVOT (
+    SELECT ranking_method, coalesce(tp / nullif(tp + fp, 0), 0) AS precision,
+           coalesce(tp / nullif(tp + fn, 0), 0) AS recall,
+           coalesce(fp / nullif(fp + tn, 0), 0) AS false_positive_rate,
+           tp + fp AS predicted_positive_count, fp AS false_positive_count FROM table_of_four)
+    ON precision, recall, false_positive_rate, predicted_positive_count, false_positive_count
+    INTO NAME metric_name VALUE v)
+)"""
+
 CLEAN_PAGE = r"""
 page AS (
   SELECT page_id, url,
@@ -428,7 +573,6 @@ FROM app"""
 
 
 def oracle_sql() -> dict[str, str]:
-    ks = "(VALUES (10), (20), (50), (100), (200), (300)) ks(k_value)"
     log_columns = """module_id, method, status_code, status_family, endpoint_path, endpoint_group,
       endpoint_template, path_depth, path_length, is_static_asset, has_suspicious_path_pattern"""
     return {
@@ -576,29 +720,17 @@ def oracle_sql() -> dict[str, str]:
         "scenario_threats": f"""{EVALUATED} SELECT synthetic_id, round(anomaly_score, 6) AS anomaly_score,
           is_anomaly, round(threat_score, 4) AS threat_score, threat_level, is_security_relevant, reasons,
           anomaly_rank, threat_rank FROM evaluated""",
-        "precision_recall_at_k": f"""{EVALUATED}, ranks AS (
-            SELECT 'anomaly_only' AS ranking_method, anomaly_rank AS r, is_attack_like FROM evaluated
-            UNION ALL SELECT 'anomaly_plus_threat_score', threat_rank, is_attack_like FROM evaluated),
-          hits AS (SELECT ranking_method, k_value, count(*) FILTER (WHERE is_attack_like AND r <= k_value) AS h,
-            least(k_value, count(*)) AS seen, count(*) FILTER (WHERE is_attack_like) AS attacks
-            FROM ranks, {ks} GROUP BY ranking_method, k_value)
-          SELECT ranking_method, 'precision_at_k' AS metric_name, k_value,
-            round(h / CAST(seen AS DOUBLE), 9) AS metric_value FROM hits
-          UNION ALL SELECT ranking_method, 'recall_at_k', k_value,
-            round(h / CAST(attacks AS DOUBLE), 9) FROM hits""",
-        "confusion_metrics": f"""{EVALUATED}, flags AS (
-            SELECT 'anomaly_only_flag' AS ranking_method, is_anomaly AS p, is_attack_like AS a FROM evaluated
-            UNION ALL SELECT 'threat_score_flag', is_security_relevant, is_attack_like FROM evaluated),
-          c AS (SELECT ranking_method, CAST(count(*) FILTER (WHERE p AND a) AS DOUBLE) AS tp,
-            CAST(count(*) FILTER (WHERE p AND NOT a) AS DOUBLE) AS fp, CAST(count(*) FILTER (WHERE NOT p AND a) AS DOUBLE) AS fn,
-            CAST(count(*) FILTER (WHERE NOT p AND NOT a) AS DOUBLE) AS tn FROM flags GROUP BY ranking_method)
-          SELECT ranking_method, metric_name, round(v, 9) AS metric_value FROM (UNPIVOT (
-            SELECT ranking_method, coalesce(tp / nullif(tp + fp, 0), 0) AS precision,
-              coalesce(tp / nullif(tp + fn, 0), 0) AS recall,
-              coalesce(fp / nullif(fp + tn, 0), 0) AS false_positive_rate,
-              tp + fp AS predicted_positive_count, fp AS false_positive_count FROM c)
-            ON precision, recall, false_positive_rate, predicted_positive_count, false_positive_count
-            INTO NAME metric_name VALUE v)""",
+        "precision_recall_at_k": f"{EVALUATED}, {RANK_METRICS} SELECT * FROM rank_metrics",
+        "confusion_metrics": f"{EVALUATED}, {FLAG_METRICS} SELECT * FROM flag_metrics",
+        "fit_forest": f"""{FOREST} SELECT tree AS tree_id, node AS node_id, coalesce(f, 0) - 1 AS feature,
+          CASE WHEN f IS NULL THEN 0 ELSE round(cut, 6) END AS threshold, CASE WHEN f IS NULL THEN -1 ELSE 2 * node + 1 END AS left_id,
+          CASE WHEN f IS NULL THEN -1 ELSE 2 * node + 2 END AS right_id, size, depth FROM nodes""",
+        "score_forest": f"""{CUT_SCORES} SELECT {TS.format('ws')} AS window_start, ip_hash, 'IsolationForest' AS model_name,
+          'forest' AS model_version, round(anomaly_score, 10) AS anomaly_score, raw_decision_score + 0.0 AS raw_decision_score,
+          is_anomaly, anomaly_rank FROM ranked""",
+        "evaluate_forest": f"""{FOREST_JUDGED}, {RANK_METRICS}, {FLAG_METRICS} SELECT 'run' AS evaluation_id, 'forest' AS model_version, *
+          FROM (SELECT * FROM rank_metrics UNION ALL BY NAME SELECT * FROM flag_metrics)""",
+        "refresh_end_to_end": f"{FOREST_THREATS} SELECT {ALERT_FIELDS} FROM threats t",
         "scenario_summary": f"""{EVALUATED} SELECT scenario_name, is_attack_like, count(*) AS rows,
           round(avg(anomaly_score), 6) AS avg_anomaly_score, round(avg(threat_score), 4) AS avg_threat_score,
           count(*) FILTER (WHERE is_security_relevant) AS security_relevant_rows FROM evaluated GROUP BY ALL""",

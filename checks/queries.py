@@ -662,7 +662,7 @@ def precision_recall_at_k(spark, sf_dir):
 
 @query
 def confusion_metrics(spark, sf_dir):
-    return printable(ev.flag_metrics(_evaluated(spark, sf_dir)).drop("k_value"), 9)
+    return printable(ev.flag_metrics(_evaluated(spark, sf_dir)), 9)
 
 
 @query
@@ -678,14 +678,14 @@ def scenario_summary(spark, sf_dir):
 def fit_forest(spark, sf_dir):
     """Node table of a forest trained on the window features."""
     features = materialize(_features(spark, sf_dir), "features")
-    return forests.fit_forest(features, "forest").nodes
+    return printable(forests.fit_forest(features, "forest").nodes)
 
 
 @query
 def score_forest(spark, sf_dir):
     features = materialize(_features(spark, sf_dir), "features")
     model = forests.fit_forest(features, "forest", contamination=0.1)
-    return printable(forests.score_forest(features, model), 9)
+    return printable(forests.score_forest(features, model), forests.SCORE_DIGITS)
 
 
 @query

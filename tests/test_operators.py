@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import numpy as np
@@ -234,6 +235,50 @@ def test_hand_made_tree(spark):
     assert np.allclose(got, [left, right, right])
 
 
+def test_every_tree_gets_the_rows_with_the_least_draws(spark):
+    """Against a plain computation over all rows; few rows in a batch, so that parts are merged often."""
+    rows = [(i, f"k{i % 7}", float(i)) for i in range(900)]
+    df = spark.createDataFrame(rows, "window_start INT, ip_hash STRING, x DOUBLE")
+    prime = 2**31 - 1
+
+    def number(text, at, size):
+        return int(hashlib.sha256(text.encode()).hexdigest()[at : at + size], 16)
+
+    want = {}
+    for t in range(5):
+        a1, b1, c1, a2, b2, c2 = (number(f"9|tree|{t}", 7 * i, 7) for i in range(6))
+        drawn = []
+        for i, k, x in rows:
+            h1, h2 = (number(f"{i}|{k}|9", at, 7) for at in (0, 7))
+            drawn.append(((a1 * h1 + b1 * h2 + c1) % prime * 2**31 + (a2 * h1 + b2 * h2 + c2) % prime, x))
+        want[t] = sorted(drawn)[:40]
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        for parts in (1, 13):
+            got = {}
+            for r in forests.subsamples(df.repartition(parts), [F.col("x")], forests.KEYS, 5, 40, 9).collect():
+                got.setdefault(r.tree_id, []).append((r.draw, r.x[0]))
+            assert {t: sorted(v) for t, v in got.items()} == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    all_rows = forests.subsamples(df.limit(30), [F.col("x")], forests.KEYS, 5, 40, 9).groupBy("tree_id").count()
+    assert {r["count"] for r in all_rows.collect()} == {30} and all_rows.count() == 5
+
+
+def test_the_forest_of_few_rows_and_of_none(spark, folder):
+    features = features_with_outliers(spark, 1, 0)
+    one = forests.fit_forest(features, "v", trees=3)
+    assert [r.feature for r in one.nodes.collect()] == [-1] * 3
+    assert forests.score_forest(features, one).count() == 1
+    with pytest.raises(ValueError):
+        forests.fit_forest(features.limit(0), "v", trees=3)
+    with pytest.raises(FileNotFoundError):
+        forests.load_forest(spark, folder, "v")
+    forests.save_forest(one, folder)
+    assert forests.load_forest(spark, folder, "v").nodes.exceptAll(one.nodes).count() == 0
+
+
 def test_contamination_values():
     assert forests.parse_contamination("auto") == "auto" and forests.parse_contamination("0.5") == 0.5
     for bad in ("0", 0.6, "x"):

@@ -18,7 +18,7 @@ def db():
 
 def test_every_statement_has_a_query():
     assert set(STATEMENTS) <= set(queries())
-    assert set(QUERIES) - set(STATEMENTS) == {"fit_forest", "score_forest", "evaluate_forest", "refresh_end_to_end"}
+    assert set(QUERIES) <= set(STATEMENTS)
 
 
 def test_entry(spark):

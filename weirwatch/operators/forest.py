@@ -1,19 +1,24 @@
 """Isolation forest (Liu, Ting, Zhou 2008) trained and applied on Spark.
 
-A tree needs a sub-sample of 256 rows, so training cost does not grow with the
-table. The sub-samples are drawn by hashing each row's key, never by a random
-generator, so the forest is the same however the table is partitioned. One
-task grows each tree; scoring runs in Arrow batches with the node arrays
-broadcast, whose size depends on the number of trees alone.
+A tree needs a sub-sample of 256 rows. One pass over the table keeps, for every
+tree, the rows with the least draws; a draw is a linear function of the row
+key's digest, so neither a random generator nor the number of rows decides, and
+parts are merged in any order. Cuts come from digests of tree and node, and
+model inputs are rounded, so that sums added up in another order give the same
+forest. One task grows each tree; scoring runs in Arrow batches with the node
+arrays broadcast, whose size depends on the number of trees alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -29,7 +34,12 @@ from weirwatch.operators.whole_quantiles import whole_quantiles
 from weirwatch.session import materialize
 
 EULER_GAMMA = 0.5772156649015329
-_HASH_SPACE = 1 << 40
+# Draws are residues of a prime: products of two 28-bit parts stay below 2^63.
+_PRIME = (1 << 31) - 1
+# Rows of a tree meet in so many groups first, so that no task gets a tree's rows of all partitions.
+_MERGE_GROUPS = 64
+# Model inputs and scores keep so many decimals: more than any sum's order can change.
+INPUT_DIGITS, SCORE_DIGITS = 6, 10
 NODE_SCHEMA = (
     "tree_id INT, node_id INT, feature INT, threshold DOUBLE, left_id INT, right_id INT, "
     "size INT, depth INT"
@@ -66,82 +76,130 @@ def feature_medians(features: DataFrame, columns: list[str] = REQUEST_FEATURES)
     return features.sparkSession.createDataFrame(rows, "feature STRING, median DOUBLE")
 
 
-def _vector(columns: list[str], medians: dict[str, float]) -> Column:
-    """Model input: doubles in model order, gaps filled with medians."""
+def _inputs(columns: list[str], medians: dict[str, float]) -> list[Column]:
+    """Model inputs: rounded doubles in model order, gaps filled with medians."""
     filled = [F.coalesce(F.col(c).cast("double"), F.lit(float(medians.get(c, 0.0)))) for c in columns]
-    return F.array(*filled)
+    return [F.round(c, INPUT_DIGITS) for c in filled]
 
 
-def _draw(seed: int, *parts: Column) -> Column:
-    return F.pmod(F.xxhash64(*parts, F.lit(seed)), F.lit(_HASH_SPACE))
+def _parts(text: str, sizes: tuple[int, ...]) -> list[int]:
+    """Numbers of so many hex digits each from the digest of a text."""
+    digits, out = hashlib.sha256(text.encode()).hexdigest(), []
+    for size in sizes:
+        out.append(int(digits[:size], 16))
+        digits = digits[size:]
+    return out
+
+
+def _key_numbers(features: DataFrame, keys: tuple[str, ...], seed: int) -> list[Column]:
+    """Two 28-bit numbers and a tie-breaker from a row's key; times count in microseconds."""
+    kinds = dict(features.dtypes)
+    texts = [F.unix_micros(k) if kinds[k] == "timestamp" else F.col(k) for k in keys]
+    texts = [F.coalesce(t.cast("string"), F.lit("")) for t in texts]
+    digest = F.sha2(F.concat_ws("|", *texts, F.lit(str(seed))), 256)
+    return [F.conv(F.substring(digest, at, size), 16, 10).cast("long") for at, size in ((1, 7), (8, 7), (15, 15))]
+
+
+def _least_draws(seed: int, trees: int, sample: int):
+    """The function that keeps, of one partition, every tree's ``sample`` rows with the least draws.
+
+    Memory is bounded by trees x sample draws and the rows that they name.
+    """
+    coefficients = np.array([_parts(f"{seed}|tree|{t}", (7,) * 6) for t in range(trees)], dtype=np.int64)
+    a1, b1, c1, a2, b2, c2 = (coefficients[:, [i]] for i in range(6))
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bound = np.full(trees, np.iinfo(np.int64).max)
+        tree, draw, tie, at = (np.zeros(0, dtype=np.int64) for _ in range(4))
+        rows = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            h1, h2, ties, *inputs = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            data = np.column_stack(inputs)
+            draws = (a1 * h1 + b1 * h2 + c1) % _PRIME * (_PRIME + 1) + (a2 * h1 + b2 * h2 + c2) % _PRIME
+            limit = bound
+            if batch.num_rows > sample:
+                limit = np.minimum(bound, np.partition(draws, sample - 1, axis=1)[:, sample - 1])
+            new_tree, new_row = np.nonzero(draws <= limit[:, None])
+            if len(new_tree) == 0:
+                continue
+            held = 0 if rows is None else len(rows)
+            rows = data if rows is None else np.concatenate([rows, data])
+            tree = np.concatenate([tree, new_tree])
+            draw = np.concatenate([draw, draws[new_tree, new_row]])
+            tie = np.concatenate([tie, ties[new_row]])
+            at = np.concatenate([at, new_row + held])
+            order = np.lexsort((tie, draw, tree))
+            sizes = np.bincount(tree, minlength=trees)
+            first = np.cumsum(sizes) - sizes
+            place = np.arange(len(order)) - np.repeat(first, sizes)
+            order = order[place < sample]
+            tree, draw, tie, at = tree[order], draw[order], tie[order], at[order]
+            full = np.flatnonzero(sizes >= sample)
+            ends = np.cumsum(np.minimum(sizes, sample)) - 1
+            bound[full] = draw[ends[full]]
+            used, at = np.unique(at, return_inverse=True)
+            rows = rows[used]
+        for t in np.unique(tree):
+            mine = tree == t
+            x = rows[at[mine]]
+            offsets = pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32())
+            lists = pa.ListArray.from_arrays(offsets, pa.array(x.ravel()))
+            columns = [pa.array(tree[mine], pa.int32()), pa.array(draw[mine]), pa.array(tie[mine]), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["tree_id", "draw", "tie", "x"])
+
+    return keep
 
 
 def subsamples(
-    features: DataFrame, vector: Column, keys: tuple[str, ...], trees: int, sample: int, seed: int
-) -> tuple[DataFrame, int]:
-    """``tree_id, draw, x``: a sample per tree, and the sample size used.
+    features: DataFrame, inputs: list[Column], keys: tuple[str, ...], trees: int, sample: int, seed: int
+) -> DataFrame:
+    """``tree_id, draw, tie, x``: the ``sample`` rows with the least draws of every tree.
 
-    A cheap hash keeps a pool of rows large enough for all trees; only pool
-    rows are hashed once per tree. Each tree then takes its rows with the
-    smallest hashes.
+    One pass, whatever the size: each partition keeps its least rows, and those
+    of all partitions are merged in two steps. A table of fewer rows gives all
+    of them to every tree.
     """
-    total = features.count()
-    if total == 0:
-        raise ValueError("no feature rows to train on")
-    size = min(sample, total)
-    keep = min(1.0, 4.0 * trees * size / total)
-    named = [F.col(k) for k in keys]
-    pool = features.where(_draw(seed, *named) < F.lit(int(keep * _HASH_SPACE)))
-    pool = pool.select(*keys, vector.alias("x"))
-    if keep < 1.0:
-        pooled = features.where(_draw(seed, *named) < F.lit(int(keep * _HASH_SPACE))).count()
-    else:
-        pooled = total
-    # Six standard deviations above the sample size: a tree left short by the
-    # thinning is practically impossible, and is checked after the draw.
-    share = min(1.0, (size + 6.0 * size**0.5) / max(pooled, 1))
-    bound = F.lit(int(share * _HASH_SPACE))
-    tree_ids = F.sequence(F.lit(0), F.lit(trees - 1))
-    chosen = F.filter(tree_ids, lambda t: _draw(seed + 1, *named, t) < bound)
-    drawn = pool.select(*keys, "x", F.explode(chosen).alias("tree_id"))
-    drawn = drawn.withColumn("draw", _draw(seed + 1, *named, F.col("tree_id")))
-    # At most ``size`` rows per tree pass the per-partition limit, so no task
-    # of this window sees more than a few hundred rows of a tree.
-    nearest = W.partitionBy("tree_id").orderBy("draw", *keys)
-    picked = drawn.withColumn("_r", F.row_number().over(nearest)).where(F.col("_r") <= size)
-    return picked.select("tree_id", "draw", "x"), size
-
-
-def _grower(seed: int, sample: int):
-    """The function that grows one tree from its rows."""
-    limit = int(np.ceil(np.log2(max(sample, 2))))
+    named = [c.alias(f"h{i}") for i, c in enumerate(_key_numbers(features, keys, seed))]
+    named += [c.alias(f"x{i}") for i, c in enumerate(inputs)]
+    drawn = features.select(*named).mapInArrow(
+        _least_draws(seed, trees, sample), "tree_id INT, draw BIGINT, tie BIGINT, x ARRAY<DOUBLE>"
+    )
+    drawn = drawn.withColumn("_group", F.pmod("tie", F.lit(_MERGE_GROUPS)))
+    for group in (["tree_id", "_group"], ["tree_id"]):
+        nearest = W.partitionBy(*group).orderBy("draw", "tie")
+        drawn = drawn.withColumn("_r", F.row_number().over(nearest)).where(F.col("_r") <= sample)
+    return drawn.select("tree_id", "draw", "tie", "x")
+
+
+def _grower(seed: int):
+    """The function that grows one tree from its rows; node ``i`` has the children ``2i + 1`` and ``2i + 2``."""
 
     def grow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         tree = int(key[0])
-        rows = rows.sort_values("draw", kind="stable")
+        rows = rows.sort_values(["draw", "tie"], kind="stable")
         data = np.array(rows["x"].tolist(), dtype=np.float64)
-        rng = np.random.default_rng([seed, tree])
+        limit = int(np.ceil(np.log2(max(len(data), 2))))
         nodes: list[list] = []
-        todo = [(np.arange(len(data)), 0, -1, 0)]
+        todo = [(np.arange(len(data)), 0, 0)]
         while todo:
-            index, depth, parent, side = todo.pop()
-            node = len(nodes)
-            if parent >= 0:
-                nodes[parent][4 + side] = node
+            index, depth, node = todo.pop()
             part = data[index]
             low, high = part.min(axis=0), part.max(axis=0)
             usable = np.flatnonzero(high > low)
             nodes.append([tree, node, -1, 0.0, -1, -1, len(index), depth])
             if depth >= limit or len(index) <= 1 or len(usable) == 0:
                 continue
-            feature = int(rng.choice(usable))
+            which, place = _parts(f"{seed}|node|{tree}|{node}", (7, 13))
+            feature = int(usable[which % len(usable)])
+            cut = low[feature] + place / 2.0**52 * (high[feature] - low[feature])
             # Rounding must not push the cut onto the maximum: both sides need rows.
-            below = np.nextafter(high[feature], low[feature])
-            cut = float(min(rng.uniform(low[feature], high[feature]), below))
+            cut = float(cut if cut < high[feature] else low[feature])
             goes_left = part[:, feature] <= cut
-            nodes[node][2], nodes[node][3] = feature, cut
-            todo.append((index[~goes_left], depth + 1, node, 1))
-            todo.append((index[goes_left], depth + 1, node, 0))
+            nodes[-1][2:6] = [feature, cut, 2 * node + 1, 2 * node + 2]
+            todo.append((index[~goes_left], depth + 1, 2 * node + 2))
+            todo.append((index[goes_left], depth + 1, 2 * node + 1))
         names = ["tree_id", "node_id", "feature", "threshold", "left_id", "right_id", "size", "depth"]
         return pd.DataFrame(nodes, columns=names)
 
@@ -171,18 +229,18 @@ def fit_forest(
     ``features`` is read several times; pass a stored table. Splits are drawn
     between the minimum and maximum of a feature, so standardising the
     features first would not change the distribution of scores and is left
-    out.
+    out. A table without rows is an error.
     """
     contamination = parse_contamination(contamination)
     spark = features.sparkSession
     medians = {r.feature: r.median for r in feature_medians(features, columns).collect()}
-    rows, size = subsamples(features, _vector(columns, medians), keys, trees, sample, seed)
-    grown = rows.groupBy("tree_id").applyInPandas(_grower(seed, size), NODE_SCHEMA)
+    rows = subsamples(features, _inputs(columns, medians), keys, trees, sample, seed)
+    grown = rows.groupBy("tree_id").applyInPandas(_grower(seed), NODE_SCHEMA)
     # A forest has at most trees * (2 * sample - 1) nodes whatever the table.
     table = grown.toPandas().sort_values(["tree_id", "node_id"]).reset_index(drop=True)
-    roots = table[table["node_id"] == 0]
-    if len(roots) != trees or (roots["size"] != size).any():
-        raise RuntimeError("a tree did not get its full sample")
+    if table.empty:
+        raise ValueError("no feature rows to train on")
+    size = int(table["size"].max())
     nodes = spark.createDataFrame(table, NODE_SCHEMA)
     params = spark.createDataFrame(
         [
@@ -212,21 +270,29 @@ def fit_forest(
     return forest
 
 
-def _node_arrays(nodes: pd.DataFrame) -> dict[str, np.ndarray]:
-    """All trees in one set of arrays; a leaf points to itself."""
+def _with_places(nodes: pd.DataFrame) -> pd.DataFrame:
+    """Nodes by tree and id with their place in the whole table, their children's and their tree's first."""
     nodes = nodes.sort_values(["tree_id", "node_id"]).reset_index(drop=True)
-    start = nodes.groupby("tree_id").size().cumsum().shift(fill_value=0)
-    base = nodes["tree_id"].map(start).to_numpy()
+    ids = nodes["tree_id"].to_numpy(np.int64) << 32
+    known = ids + nodes["node_id"].to_numpy()
     here = np.arange(len(nodes))
     leaf = (nodes["feature"] < 0).to_numpy()
-    depth = nodes["depth"].to_numpy() + expected_path(nodes["size"].to_numpy())
+    children = {s: np.where(leaf, here, np.searchsorted(known, ids + nodes[f"{s}_id"].to_numpy())) for s in ("left", "right")}
+    first = np.searchsorted(known, ids)
+    length = nodes["depth"].to_numpy() + expected_path(nodes["size"].to_numpy())
+    return nodes.assign(**children, first=first, leaf=leaf, length=length)
+
+
+def _node_arrays(nodes: pd.DataFrame) -> dict[str, np.ndarray]:
+    """All trees in one set of arrays; a leaf points to itself."""
+    nodes = _with_places(nodes)
     return {
-        "roots": start.to_numpy().astype(np.int32),
-        "feature": np.where(leaf, 0, nodes["feature"]).astype(np.int32),
-        "cut": np.where(leaf, np.inf, nodes["threshold"]),
-        "left": np.where(leaf, here, base + nodes["left_id"]).astype(np.int32),
-        "right": np.where(leaf, here, base + nodes["right_id"]).astype(np.int32),
-        "length": depth,
+        "roots": nodes["first"].unique().astype(np.int32),
+        "feature": np.where(nodes["leaf"], 0, nodes["feature"]).astype(np.int32),
+        "cut": np.where(nodes["leaf"], np.inf, nodes["threshold"]),
+        "left": nodes["left"].to_numpy(np.int32),
+        "right": nodes["right"].to_numpy(np.int32),
+        "length": nodes["length"].to_numpy(),
         "levels": np.int32(nodes["depth"].max()),
     }
 
@@ -240,10 +306,10 @@ def raw_scores(features: DataFrame, forest: Forest) -> DataFrame:
     offset = float(params.score_offset)
 
     @F.pandas_udf("double")
-    def decide(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         a = arrays.value
         for batch in batches:
-            x = np.array(batch.tolist(), dtype=np.float64)
+            x = batch.to_numpy(dtype=np.float64)
             if len(x) == 0:
                 yield pd.Series([], dtype="float64")
                 continue
@@ -258,8 +324,9 @@ def raw_scores(features: DataFrame, forest: Forest) -> DataFrame:
             mean = total / len(a["roots"])
             yield pd.Series(-np.power(2.0, -mean / norm) - offset)
 
-    vector = _vector(list(params.feature_columns), dict(params.medians))
-    return features.withColumn("raw_decision_score", decide(vector))
+    inputs = _inputs(list(params.feature_columns), dict(params.medians))
+    inputs = F.struct(*[c.alias(f"x{i}") for i, c in enumerate(inputs)])
+    return features.withColumn("raw_decision_score", F.round(decide(inputs), SCORE_DIGITS))
 
 
 def raw_scores_in_catalyst(features: DataFrame, forest: Forest) -> DataFrame:
@@ -269,26 +336,24 @@ def raw_scores_in_catalyst(features: DataFrame, forest: Forest) -> DataFrame:
     Slower than :func:`raw_scores`; meant for tests.
     """
     params = forest.params.first()
-    nodes = forest.nodes.toPandas()
-    lengths = nodes["depth"] + expected_path(nodes["size"].to_numpy())
+    nodes = _with_places(forest.nodes.toPandas())
     trees = []
-    for _, tree in nodes.assign(length=lengths).groupby("tree_id"):
-        tree = tree.sort_values("node_id")
+    for _, tree in nodes.groupby("tree_id"):
         trees.append(
             F.array(
                 *[
                     F.struct(
                         F.lit(int(n.feature)).alias("f"),
                         F.lit(float(n.threshold)).alias("t"),
-                        F.lit(int(n.left_id)).alias("l"),
-                        F.lit(int(n.right_id)).alias("r"),
+                        F.lit(int(n.left - n.first)).alias("l"),
+                        F.lit(int(n.right - n.first)).alias("r"),
                         F.lit(float(n.length)).alias("len"),
                     )
                     for n in tree.itertuples()
                 ]
             )
         )
-    x = _vector(list(params.feature_columns), dict(params.medians))
+    x = F.array(*_inputs(list(params.feature_columns), dict(params.medians)))
     steps = F.sequence(F.lit(1), F.lit(int(nodes["depth"].max()) or 1))
 
     def walk(tree: Column) -> Column:
@@ -304,7 +369,7 @@ def raw_scores_in_catalyst(features: DataFrame, forest: Forest) -> DataFrame:
         total = total + walk(tree)
     norm = float(expected_path(np.array([params.sample]))[0]) or 1.0
     raw = -F.pow(F.lit(2.0), -(total / len(trees)) / norm) - F.lit(float(params.score_offset))
-    return features.withColumn("raw_decision_score", raw)
+    return features.withColumn("raw_decision_score", F.round(raw, SCORE_DIGITS))
 
 
 def save_forest(forest: Forest, path: str) -> None:
@@ -321,7 +386,9 @@ def load_forest(spark: SparkSession, path: str, model_version: str) -> Forest:
     try:
         nodes = spark.read.schema(NODE_SCHEMA).parquet(f"{path}/nodes/{where}")
         params = spark.read.parquet(f"{path}/params/{where}")
-    except Exception as error:  # the reader has no narrower class for a missing path
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"no stored model {model_version} in {path}") from error
     if "model_version" not in params.columns:
         params = params.withColumn("model_version", F.lit(model_version))
