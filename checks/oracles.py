@@ -7,6 +7,7 @@ values per event kind, counts and quantiles use the database's own functions.
 from __future__ import annotations
 
 from weirwatch.fixed_values import SCENARIO_COLUMNS, SCENARIOS
+from weirwatch.sources.event_adapter import AGENTS
 
 EVENTS = """
 ev AS (
@@ -477,7 +478,7 @@ PROBE = (
     r"regexp_matches(lower({}), '\.env|\.git|\.ds_store|wp-admin|wp-login|phpmyadmin|backup|dump|\.sql"
     r"|gitconfig|database|passwd|shadow')"
 )
-PAGE_FEATURES = f"""WITH {CLEAN_PAGE},
+GENERAL = f"""
 parts AS (SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS segs FROM page),
 general AS (
   SELECT page_id, path AS endpoint_path,
@@ -496,6 +497,7 @@ general AS (
     {PROBE.format('path')} AS has_suspicious_path_pattern
   FROM parts
 )"""
+PAGE_FEATURES = f"WITH {CLEAN_PAGE}, {GENERAL}"
 
 SENSITIVE = "'token','access_token','refresh_token','id_token','key','apikey','api_key','password','pass','secret','session','sid','email'"
 
@@ -572,6 +574,24 @@ SELECT 'app_events' AS dataset, count(*) AS row_count, 22 AS column_count,
 FROM app"""
 
 
+# Scalar metrics of both logs as rows: a number where the value is one, else its text.
+METRIC_ROWS = f"""WITH r AS ({PROFILE_REQUESTS}), a AS ({PROFILE_APP}),
+texts AS (
+  SELECT 'requests' AS dataset, metric, v FROM (UNPIVOT (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM r) ON COLUMNS(*) INTO NAME metric VALUE v)
+  UNION ALL
+  SELECT 'app_events', metric, v FROM (UNPIVOT (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM a) ON COLUMNS(*) INTO NAME metric VALUE v)
+),
+metric_rows AS (
+  SELECT dataset, metric, round(try_cast(v AS DOUBLE), 6) AS number, CASE WHEN try_cast(v AS DOUBLE) IS NULL THEN v END AS text FROM texts
+)"""
+_PATH_SHOWN = "endpoint_path, endpoint_group, endpoint_template, path_depth, path_length, is_static_asset, has_suspicious_path_pattern"
+REQUEST_SHOWN = f"""{TS_US.format('moment')} AS timestamp, module_id, method, status_code, status_family, round(latency_ms, 6) AS latency_ms,
+  response_size, has_sensitive_query_key, ip_hash, user_agent_category, request_hash, {_PATH_SHOWN}"""
+APP_SHOWN = f"""{TS_US.format('moment')} AS timestamp, module_id, level, event, method, status_code, status_family,
+  round(response_time_ms, 6) AS response_time_ms, user_id_hash, tenant_hash, request_hash, has_error, request_data_has_sensitive_key,
+  response_data_has_sensitive_key, headers_has_sensitive_key, {_PATH_SHOWN}"""
+
+
 def oracle_sql() -> dict[str, str]:
     log_columns = """module_id, method, status_code, status_family, endpoint_path, endpoint_group,
       endpoint_template, path_depth, path_length, is_static_asset, has_suspicious_path_pattern"""
@@ -583,30 +603,31 @@ def oracle_sql() -> dict[str, str]:
           level, event, round(response_time_ms, 6) AS response_time_ms, user_id_hash, tenant_hash, request_hash,
           has_error, request_data_has_sensitive_key, response_data_has_sensitive_key,
           headers_has_sensitive_key FROM app""",
-        "anonymize_requests": f"""WITH {EVENTS} SELECT event_id, {TS_US.format('moment')} AS timestamp,
+        "anonymize_requests": f"""WITH {EVENTS}, page AS (SELECT event_id AS page_id, {RAW_PATH} AS path FROM ev), {GENERAL}
+          SELECT event_id, {TS_US.format('moment')} AS timestamp, {TS_US.format('moment')} AS start_time, NULL AS end_time, NULL AS version_id,
+          {ENTITY.format("'www.example.org'")} AS host_hash, NULL AS url_map_entry, CAST(NULL AS BOOLEAN) AS finished, NULL AS app_engine_release, NULL AS trace_hash,
+          CASE WHEN k % 50 <> 0 THEN substr(sha256('salt' || [{', '.join(f"'{a}'" for a in AGENTS)}][k % 5 + 1]), 1, 16) END AS user_agent_hash,
           CASE WHEN k % 4 = 0 THEN 'fallback' ELSE {MODULE} END AS module_id, {METHOD} AS method,
           {STATUS} AS status_code, ({STATUS}) // 100 || 'xx' AS status_family,
           CASE WHEN k % 31 <> 0 THEN round(CAST(printf('%.6f', value / 100) AS DOUBLE) * 1000, 3) END AS latency_ms,
           CASE WHEN k % 17 <> 0 THEN CAST(k * 100 AS BIGINT) END AS response_size,
-          {RAW_PATH} AS endpoint_path,
+          g.* EXCLUDE (page_id),
           CASE WHEN {RAW_QUERY} THEN 2 WHEN k % 7 = 0 THEN 2 ELSE 0 END AS query_key_count,
           {RAW_QUERY} AS has_sensitive_query_key, {ENTITY.format('client')} AS ip_hash,
           CASE WHEN k % 50 = 0 THEN NULL WHEN k % 5 = 0 THEN 'bot' WHEN k % 5 = 1 THEN 'mobile_browser'
                WHEN k % 5 = 2 THEN 'script_or_api_client' WHEN k % 5 = 3 THEN 'desktop_browser'
                ELSE 'other' END AS user_agent_category,
           CASE WHEN k % 8 <> 0 THEN {ENTITY.format('event_id')}
-               ELSE {ENTITY.format("('insert-' || event_id)")} END AS request_hash,
-          CASE WHEN k % 23 = 0 THEN CASE
-                 WHEN kind = 'click' THEN 'static_asset'
-                 WHEN kind = 'error' AND k % 4 < 3 THEN 'suspicious_probe' ELSE 'application_route' END
-               ELSE {GROUP} END AS endpoint_group,
-          (kind = 'click') AS is_static_asset, {SUSPICIOUS} AS has_suspicious_path_pattern FROM ev""",
-        "anonymize_app_events": f"""WITH {EVENTS} SELECT event_id, {TS_US.format('moment')} AS timestamp,
+               ELSE {ENTITY.format("('insert-' || event_id)")} END AS request_hash
+          FROM ev JOIN general g ON page_id = event_id""",
+        "anonymize_app_events": f"""WITH {EVENTS}, page AS (
+            SELECT event_id AS page_id, regexp_replace({PATH}, '\\b\\d{{4,}}\\b', '{{num}}', 'g') AS path FROM ev), {GENERAL}
+          SELECT event_id, {TS_US.format('moment')} AS timestamp, {TS_US.format('moment')} AS receive_timestamp, NULL AS version_id,
+          false AS response_data_has_sensitive_key, g.* EXCLUDE (page_id),
           {MODULE} AS module_id, CASE WHEN kind = 'error' THEN 'error' ELSE 'info' END AS level, kind AS event,
           {METHOD} AS method, CASE WHEN k % 3 <> 0 THEN {STATUS} END AS status_code,
           CASE WHEN k % 3 <> 0 THEN ({STATUS}) // 100 || 'xx' END AS status_family,
           floor(value * 10) AS response_time_ms,
-          regexp_replace({PATH}, '\\b\\d{{4,}}\\b', '{{num}}', 'g') AS endpoint_path,
           {ENTITY.format('client')} AS user_id_hash,
           CASE WHEN k % 9 <> 0 THEN {ENTITY.format('(user_id % 4)')} END AS tenant_hash,
           {ENTITY.format("('insert-' || event_id)")} AS request_hash, kind = 'error' AS has_error,
@@ -614,7 +635,7 @@ def oracle_sql() -> dict[str, str]:
           CASE WHEN k % 11 = 0 THEN 2 WHEN k % 2 = 0 THEN 1 ELSE 0 END AS request_data_key_count,
           k % 11 = 0 AS request_data_has_sensitive_key, 0 AS response_data_key_count,
           CASE WHEN k % 19 = 0 THEN 2 ELSE 0 END AS headers_key_count, k % 19 = 0 AS headers_has_sensitive_key
-          FROM ev WHERE k % 29 <> 0""",
+          FROM ev JOIN general g ON page_id = event_id WHERE k % 29 <> 0""",
         "clean_path": f"WITH {CLEAN_PAGE} SELECT page_id, path FROM page",
         "query_key_summary": f"""WITH q AS (
             SELECT page_id, list_transform(list_filter(string_split(
@@ -631,9 +652,7 @@ def oracle_sql() -> dict[str, str]:
           SELECT doc_id, lower(text) AS t FROM documents)""",
         "hash_entities": f"""SELECT c_custkey, {ENTITY.format('c_name')} AS name_hash,
           {ENTITY.format('c_custkey')} AS key_hash FROM customer""",
-        "event_identity": f"""WITH {EVENTS}, {APPS} SELECT level, 2 * count(*) AS rows,
-          count(DISTINCT (moment, method, endpoint_path, user_id_hash, response_time_ms)) AS distinct_events
-          FROM app GROUP BY level""",
+        "event_identity": f"""WITH {EVENTS}, {APPS} SELECT {APP_SHOWN}, 2 * count(*) AS copies FROM app GROUP BY ALL""",
         "lenient_casts": """WITH t AS (SELECT event_id, value, CAST(regexp_extract(props, '"k": *([0-9]+)', 1)
             AS INTEGER) AS k FROM events)
           SELECT event_id, CASE WHEN k % 4 = 0 THEN k END AS as_int,
@@ -673,14 +692,28 @@ def oracle_sql() -> dict[str, str]:
         "nearest_rank_p95": f"""SELECT 'extended_price' AS measure, {nearest('lineitem', 'l_extendedprice')} AS p95
           UNION ALL SELECT 'quantity', {nearest('lineitem', 'l_quantity')}
           UNION ALL SELECT 'event_value', {nearest('events', 'value')}""",
-        "quality_metric_upsert": f"""WITH r AS ({PROFILE_REQUESTS}), a AS ({PROFILE_APP})
-          SELECT 'requests' AS dataset, metric, v AS value FROM (UNPIVOT (SELECT
-            CAST(row_count AS VARCHAR) AS row_count, CAST(column_count AS VARCHAR) AS column_count,
-            CAST(unique_ip_hashes AS VARCHAR) AS unique_ip_hashes, start_time, end_time FROM r)
-            ON COLUMNS(*) INTO NAME metric VALUE v)
-          UNION ALL SELECT 'app_events', metric, v FROM (UNPIVOT (SELECT
-            CAST(row_count AS VARCHAR) AS row_count, CAST(column_count AS VARCHAR) AS column_count,
-            start_time, end_time FROM a) ON COLUMNS(*) INTO NAME metric VALUE v)""",
+        "quality_metric_upsert": f"{METRIC_ROWS} SELECT * FROM metric_rows WHERE metric <> 'dataset'",
+        "metric_csv": f"{METRIC_ROWS} SELECT * FROM metric_rows",
+        "quality_report": f"""{METRIC_ROWS}, top AS ({BASE} {top_values('req', TOP['request'])})
+          SELECT dataset AS first, metric AS second, number AS third, text, NULL AS fourth FROM metric_rows WHERE dataset = 'requests' AND metric <> 'dataset'
+          UNION ALL SELECT column_name, value, rows, NULL, value_rank FROM top""",
+        "jsonl_sink": f"{BASE} SELECT {REQUEST_SHOWN} FROM req",
+        "catalogue_scan": f"""WITH {EVENTS}, {REQUESTS}, {APPS}
+          SELECT 'requests' AS dataset, 'request_log' AS type, 'Requests' AS description, {TS_US.format('moment')} AS timestamp, ip_hash AS entity,
+            round(latency_ms, 6) AS duration, endpoint_path, endpoint_template, status_code, request_hash FROM req
+          UNION ALL SELECT 'apps', 'structured_app_log', '', {TS_US.format('moment')}, user_id_hash, round(response_time_ms, 6), endpoint_path, endpoint_template,
+            status_code, request_hash FROM app""",
+        "truncate_and_reload": f"WITH {EVENTS}, {APPS} SELECT {APP_SHOWN} FROM app WHERE event <> 'view'",
+        "array_file_scan": f"""WITH {EVENTS} SELECT event_id, {TS_US.format('moment')} AS timestamp,
+          CASE WHEN k % 4 = 0 THEN 'fallback' ELSE {MODULE} END AS module_id, {METHOD} AS method, {STATUS} AS status_code, {RAW_PATH} AS endpoint_path,
+          {RAW_QUERY} AS has_sensitive_query_key, {ENTITY.format('client')} AS ip_hash FROM ev""",
+        "evaluation_of_latest": f"""{EVALUATED}, {RANK_METRICS}, {FLAG_METRICS} SELECT 'metric' AS part, * FROM (SELECT * FROM rank_metrics UNION ALL BY NAME SELECT * FROM flag_metrics)
+          UNION ALL BY NAME SELECT 'rows' AS part, scenario_name AS ranking_method, 'rows' AS metric_name, NULL AS k_value, CAST(count(*) AS DOUBLE) AS metric_value
+            FROM evaluated GROUP BY scenario_name
+          UNION ALL BY NAME SELECT 'counts' AS part, NULL AS ranking_method, metric_name, NULL AS k_value, CAST(v AS DOUBLE) AS metric_value FROM (UNPIVOT (
+            SELECT count(*) AS rows_evaluated, count(*) FILTER (WHERE is_attack_like) AS attack_like_rows,
+                   count(*) FILTER (WHERE NOT is_attack_like) AS benign_rows FROM evaluated)
+            ON rows_evaluated, attack_like_rows, benign_rows INTO NAME metric_name VALUE v)""",
         "normalize_and_rank": f"""{SCORES} SELECT {TS.format('ws')} AS window_start, ip_hash,
           raw_decision_score, round(anomaly_score, 9) AS anomaly_score, anomaly_rank FROM ranked""",
         "anomaly_counts": f"""{SCORES} SELECT count(*) AS rows_scored, count(*) FILTER (WHERE is_anomaly) AS anomaly_rows,
@@ -713,10 +746,9 @@ def oracle_sql() -> dict[str, str]:
           round(error_rate, 6) AS error_rate, unique_endpoint_count FROM ranked WHERE anomaly_rank <= 20""",
         "top_threat_windows": f"""{THREATS} SELECT {ALERT_FIELDS} FROM threats t
           ORDER BY threat_score DESC, t.anomaly_score DESC, ws, ip_hash LIMIT 20""",
-        "scenarios": f"""{FEATURES}, {SCENARIO_ROWS} SELECT synthetic_id, scenario_name, is_attack_like, ip_hash,
-          request_count, unique_endpoint_count, static_asset_count, suspicious_path_count, error_count,
-          round(error_rate, 9) AS error_rate, off_hours, {TS.format('base_ws')} AS base_window_start,
-          base_ip AS base_ip_hash FROM synthetic""",
+        "scenarios": f"""{FEATURES}, {SCENARIO_ROWS} SELECT synthetic_id, scenario_name, is_attack_like, ip_hash, i AS scenario_index, j AS row_index,
+          {', '.join(f'round({c}, 9) AS {c}' if c in DOUBLES else c for c in IP_COLUMNS)},
+          {TS.format('base_ws')} AS base_window_start, base_ip AS base_ip_hash FROM synthetic""",
         "scenario_threats": f"""{EVALUATED} SELECT synthetic_id, round(anomaly_score, 6) AS anomaly_score,
           is_anomaly, round(threat_score, 4) AS threat_score, threat_level, is_security_relevant, reasons,
           anomaly_rank, threat_rank FROM evaluated""",
@@ -750,10 +782,8 @@ def oracle_sql() -> dict[str, str]:
           round(raw_decision_score * v.factor, 9) AS score FROM ranked, (VALUES ('001', 1.0), ('1', -1.0)) v(version, factor)""",
         "maintained_rarity": f"""{FEATURES} SELECT {TS.format('ws')} AS window_start, ip_hash, request_count,
           round(avg_endpoint_rarity, 6) AS avg_endpoint_rarity FROM feat""",
-        "jsonl_scan": """WITH t AS (SELECT CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS k FROM events),
-          lines AS (SELECT CASE WHEN k % 10 = 0 THEN 'Invalid JSON' WHEN k % 10 = 1 THEN 'Expected JSON object'
-            WHEN k % 10 = 2 THEN 'blank' ELSE 'entry' END AS kind FROM t)
-          SELECT kind, count(*) AS lines FROM lines WHERE kind <> 'blank' GROUP BY kind""",
+        "jsonl_scan": f"""WITH {EVENTS} SELECT CASE WHEN k % 10 = 0 THEN 'Invalid JSON' WHEN k % 10 = 1 THEN 'Expected JSON object'
+          ELSE 'entry' END AS kind, CAST(event_id AS VARCHAR) AS event_id FROM ev WHERE k % 10 <> 2""",
         "streaming_ip_windows": f"{FEATURES} {FEATURE_SELECT}",
         "streaming_live_counters": f"""{FEATURES} SELECT {TS.format('ws')} AS window_start, ip_hash, request_count,
           unique_endpoint_count, suspicious_path_count, error_count, round(max_latency_ms, 6) AS max_latency_ms FROM feat""",

@@ -5,6 +5,7 @@ Doubles are rounded and times printed so that two engines can be compared.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,11 +29,11 @@ from weirwatch.operators.ranking import min_max, normalize_and_rank
 from weirwatch.operators.threat import score_threats, threat_level_counts, threat_score
 from weirwatch.plans import evaluation as ev
 from weirwatch.plans import frequencies, ingest, views
-from weirwatch.plans.pipeline import Warehouse, run_pipeline, train
+from weirwatch.plans.pipeline import METRIC_KEYS, SCENARIO_KEYS, Warehouse, run_pipeline
 from weirwatch.plans.scenarios import scenarios
 from weirwatch.session import ensure_session, materialize, scratch_path
 from weirwatch.sources import event_adapter as adapter
-from weirwatch.sources import jsonl, raw, tables
+from weirwatch.sources import catalogue, jsonl, raw, reports, tables
 from weirwatch.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +74,12 @@ def printable(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*shown)
 
 
+def _stamped(df: DataFrame) -> DataFrame:
+    """Times with their fractions, doubles rounded, all columns kept."""
+    times = [name for name, kind in df.dtypes if kind == "timestamp"]
+    return printable(df.withColumns({name: stamp(name, True) for name in times}))
+
+
 # --- inputs ------------------------------------------------------------------
 
 
@@ -91,28 +98,13 @@ def adapt_app_logs(spark, sf_dir):
 @query
 def anonymize_requests(spark, sf_dir):
     entries = adapter.raw_requests(spark, sf_dir)
-    rows = raw.request_rows(entries, adapter.SALT, keep=("event_id",))
-    return rows.select(
-        "event_id",
-        stamp("timestamp", True).alias("timestamp"),
-        *"""module_id method status_code status_family latency_ms response_size endpoint_path
-        query_key_count has_sensitive_query_key ip_hash user_agent_category request_hash
-        endpoint_group is_static_asset has_suspicious_path_pattern""".split(),
-    )
+    return _stamped(raw.request_rows(entries, adapter.SALT, keep=("event_id",)))
 
 
 @query
 def anonymize_app_events(spark, sf_dir):
     entries = adapter.raw_app_events(spark, sf_dir)
-    rows = raw.app_rows(entries, adapter.SALT, keep=("event_id",))
-    return rows.select(
-        "event_id",
-        stamp("timestamp", True).alias("timestamp"),
-        *"""module_id level event method status_code status_family response_time_ms endpoint_path
-        user_id_hash tenant_hash request_hash has_error error_text_length request_data_key_count
-        request_data_has_sensitive_key response_data_key_count headers_key_count
-        headers_has_sensitive_key""".split(),
-    )
+    return _stamped(raw.app_rows(entries, adapter.SALT, keep=("event_id",)))
 
 
 # --- scalar functions --------------------------------------------------------
@@ -173,15 +165,14 @@ def hash_entities(spark, sf_dir):
 
 @query
 def event_identity(spark, sf_dir):
-    """Equal events share an identity: every event is given twice here."""
-    logs = adapter.app_logs(spark, sf_dir).select(
-        "level", "timestamp", "method", "endpoint_path", "user_id_hash", "response_time_ms"
-    )
+    """Equal events share an identity: every event is given twice here, and one row of each identity is left."""
+    logs = adapter.app_logs(spark, sf_dir)
     twice = logs.unionByName(logs)
     hashed = twice.withColumn("event_hash", identity.event_hash(twice))
-    return hashed.groupBy("level").agg(
-        F.count("*").alias("rows"), F.count_distinct("event_hash").alias("distinct_events")
+    found = hashed.groupBy("event_hash").agg(
+        F.any_value(F.struct(*logs.columns)).alias("event"), F.count("*").alias("copies")
     )
+    return _stamped(found.select("event.*", "copies"))
 
 
 @query
@@ -219,9 +210,57 @@ def jsonl_scan(spark, sf_dir):
     )
     folder = scratch_path(spark, "jsonl")
     lines.write.text(folder)
-    good = jsonl.read_entries(spark, folder, "quarantine").select(F.lit("entry").alias("kind"))
-    bad = jsonl.bad_lines(spark, folder).select(F.col("problem").alias("kind"))
-    return good.unionByName(bad).groupBy("kind").agg(F.count("*").alias("lines"))
+    event = F.regexp_extract("value", "insert-([0-9]+)", 1).alias("event_id")
+    good = jsonl.read_entries(spark, folder, "quarantine").select(F.lit("entry").alias("kind"), event)
+    return good.unionByName(jsonl.bad_lines(spark, folder).select(F.col("problem").alias("kind"), event))
+
+
+@query
+def array_file_scan(spark, sf_dir):
+    """Files of one JSON array each, 2,000 events a file, read and anonymised."""
+    folder = scratch_path(spark, "arrays")
+    entries = adapter.raw_requests(spark, sf_dir).withColumn("file", F.expr("event_id div 2000"))
+    arrays = entries.groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ", "), F.lit("]")).alias("value"))
+    arrays.write.partitionBy("file").text(folder)
+    entries = jsonl.read_array_file(spark, f"{folder}/*")
+    event = F.regexp_extract("value", "insert-([0-9]+)", 1).cast("bigint")
+    rows = raw.request_rows(entries.withColumn("event_id", event), adapter.SALT, keep=("event_id",))
+    shown = ["event_id", "timestamp", "module_id", "method", "status_code", "endpoint_path", "has_sensitive_query_key", "ip_hash"]
+    return _stamped(rows.select(*shown))
+
+
+@query
+def jsonl_sink(spark, sf_dir):
+    """The request log written as JSON lines and read back with its types."""
+    folder = scratch_path(spark, "sink")
+    logs = adapter.request_logs(spark, sf_dir)
+    jsonl.write_jsonl(logs, folder)
+    return _stamped(jsonl.read_request_log(spark, folder).select(*logs.columns))
+
+
+@query
+def catalogue_scan(spark, sf_dir):
+    """Both logs read through a catalogue that names their files and types."""
+    root = scratch_path(spark, "catalogue")
+    jsonl.write_jsonl(adapter.request_logs(spark, sf_dir), f"{root}/requests")
+    jsonl.write_jsonl(adapter.app_logs(spark, sf_dir), f"{root}/apps")
+    listed = {
+        "requests": {"path": f"{root}/requests", "type": "request_log", "description": "Requests"},
+        "apps": {"path": f"{root}/apps", "type": "structured_app_log"},
+    }
+    reports.write_text(spark, json.dumps(listed), f"{root}/list")
+    parts = []
+    for name, dataset in catalogue.load_catalogue(spark, f"{root}/list").items():
+        rows = catalogue.read_dataset(spark, dataset)
+        entity, duration = ("ip_hash", "latency_ms") if name == "requests" else ("user_id_hash", "response_time_ms")
+        parts.append(
+            rows.select(
+                F.lit(name).alias("dataset"), F.lit(dataset.type).alias("type"), F.lit(dataset.description).alias("description"),
+                "timestamp", F.col(entity).alias("entity"), F.col(duration).alias("duration"),
+                "endpoint_path", "endpoint_template", "status_code", "request_hash",
+            )
+        )
+    return _stamped(parts[0].unionByName(parts[1]))
 
 
 # --- loads -------------------------------------------------------------------
@@ -284,6 +323,17 @@ def insert_app_events(spark, sf_dir):
     return printable(stored.select(stamp("timestamp", True).alias("timestamp"), *shown))
 
 
+@query
+def truncate_and_reload(spark, sf_dir):
+    """All application events, then a reload without the views: nothing of the first load is left."""
+    path = scratch_path(spark, "reloaded")
+    logs = adapter.app_logs(spark, sf_dir).withColumn("load_order", F.col("timestamp"))
+    tables.load_app_logs(spark, logs, path)
+    tables.load_app_logs(spark, logs.where(F.col("event") != "view"), path, reload=True)
+    shown = [c for c in logs.columns if c != "load_order"]
+    return _stamped(tables.read_table(spark, path).select(*shown))
+
+
 @query
 def high_water_mark(spark, sf_dir):
     """Mark after loading all but the views, and what the next pull takes."""
@@ -422,8 +472,46 @@ def quality_metric_upsert(spark, sf_dir):
     apps = metric_rows(profile(adapter.app_logs(spark, sf_dir), "app", "app_events"))
     for rows in (requests, apps, requests):
         tables.load_quality_metrics(spark, rows, path)
-    shown = ["row_count", "column_count", "start_time", "end_time", "unique_ip_hashes"]
-    return tables.read_table(spark, path).where(F.col("metric").isin(shown))
+    return _numbers(tables.read_table(spark, path))
+
+
+def _numbers(rows: DataFrame) -> DataFrame:
+    """Metric texts as a number where they are one."""
+    number = F.col("value").try_cast("double")
+    text = F.when(number.isNull(), F.col("value"))
+    return rows.select(*[c for c in rows.columns if c != "value"], F.round(number, 6).alias("number"), text.alias("text"))
+
+
+@query
+def metric_csv(spark, sf_dir):
+    """The metrics of both logs written as CSV files and read back."""
+    root = scratch_path(spark, "csv")
+    parts = []
+    for logs, kind, name in (
+        (adapter.request_logs(spark, sf_dir), "request", "requests"),
+        (adapter.app_logs(spark, sf_dir), "app", "app_events"),
+    ):
+        reports.write_metric_csv(profile(logs, kind, name), f"{root}/{name}")
+        parts.append(reports.read_metric_csv(spark, f"{root}/{name}", name))
+    return _numbers(parts[0].unionByName(parts[1]))
+
+
+@query
+def quality_report(spark, sf_dir):
+    """The Markdown report of the request log, stored, read back and taken apart into the cells of its tables."""
+    path = scratch_path(spark, "report")
+    reports.write_text(spark, reports.quality_report(adapter.request_logs(spark, sf_dir), "request", "requests"), path)
+    cells = F.split(F.expr("substring(value, 3, length(value) - 4)"), " \\| ", -1)
+    lines = spark.read.text(path).where("value LIKE '| %' AND value NOT LIKE '| ---%'").select(cells.alias("c"))
+    lines = lines.where(~F.col("c")[0].isin("dataset", "column_name"))
+    third = F.col("c")[2].try_cast("double")
+    return lines.select(
+        F.col("c")[0].alias("first"),
+        F.col("c")[1].alias("second"),
+        F.round(third, 6).alias("third"),
+        F.when(third.isNull(), F.col("c")[2]).alias("text"),
+        F.get("c", F.lit(3)).cast("int").alias("fourth"),
+    )
 
 
 # --- features ----------------------------------------------------------------
@@ -623,12 +711,7 @@ def top_threat_windows(spark, sf_dir):
 @query
 def synthetic_scenarios(spark, sf_dir):
     features = materialize(_features(spark, sf_dir), "features")
-    rows = scenarios(features).select(
-        *"""synthetic_id scenario_name is_attack_like ip_hash request_count unique_endpoint_count
-        static_asset_count suspicious_path_count error_count error_rate off_hours
-        base_window_start base_ip_hash""".split()
-    )
-    return printable(rows, 9)
+    return printable(scenarios(features), 9)
 
 
 QUERIES["scenarios"] = QUERIES.pop("synthetic_scenarios")
@@ -671,6 +754,27 @@ def scenario_summary(spark, sf_dir):
     return rows.withColumn("avg_threat_score", F.round("avg_threat_score", 4))
 
 
+@query
+def evaluation_of_latest(spark, sf_dir):
+    """Metrics, scenario rows and row counts of the newest of two stored evaluations."""
+    root = scratch_path(spark, "evaluations")
+    scored = materialize(_evaluated(spark, sf_dir), "evaluated")
+    for run, rows, moment in (("new", scored, "2024-01-02"), ("old", scored.where("is_attack_like"), "2024-01-01")):
+        stamped = {"evaluation_id": F.lit(run), "created_at": F.lit(moment).cast("timestamp")}
+        metrics = ev.evaluation_metrics(rows, run, "proxy").withColumn("created_at", stamped["created_at"])
+        tables.upsert(spark, f"{root}/metrics", metrics, METRIC_KEYS)
+        tables.upsert(spark, f"{root}/scores", rows.withColumns(stamped), SCENARIO_KEYS)
+    stored = tables.read_table(spark, f"{root}/scores")
+    metrics, summary = views.evaluation_summary(tables.read_table(spark, f"{root}/metrics"), stored)
+    rows = summary.select(F.col("scenario_name").alias("ranking_method"), F.lit("rows").alias("metric_name"), F.col("rows").cast("double").alias("metric_value"))
+    counts = ev.result_counts(stored.where("evaluation_id = 'new'"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("metric_name"), F.col(c).cast("double").alias("metric_value")) for c in counts.columns])
+    counts = counts.select(F.inline(pairs))
+    parts = [df.withColumn("part", F.lit(name)) for name, df in (("metric", metrics), ("rows", rows), ("counts", counts))]
+    both = parts[0].unionByName(parts[1], allowMissingColumns=True)
+    return printable(both.unionByName(parts[2], allowMissingColumns=True), 9)
+
+
 # --- model -------------------------------------------------------------------
 
 

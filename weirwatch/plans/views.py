@@ -152,6 +152,7 @@ def with_context(alerts: DataFrame, logs: DataFrame, window: str = "5 minutes")
     return alerts.join(F.broadcast(best), keys, "left")
 
 
+# The columns of an alert.
 ALERT_COLUMNS = [
     "window_start",
     "ip_hash",

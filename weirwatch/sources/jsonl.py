@@ -144,5 +144,6 @@ def read_app_log(spark: SparkSession, path: str | list[str], mode: str = "failfa
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One JSON object per line; null keys are kept."""
-    df.write.mode(mode).option("ignoreNullFields", "false").json(path)
+    """One JSON object per line; null keys and fractions of seconds are kept."""
+    options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    df.write.mode(mode).options(**options).json(path)
