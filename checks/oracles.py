@@ -773,6 +773,13 @@ def oracle_sql() -> dict[str, str]:
           CASE WHEN k % 8 <> 0 THEN {ENTITY.format('event_id')} ELSE {ENTITY.format("('insert-' || event_id)")} END AS request_hash,
           CASE WHEN k % 4 = 0 THEN 'fallback' ELSE {MODULE} END AS module_id, {METHOD} AS method, {STATUS} AS status_code,
           {RAW_QUERY} AS has_sensitive_query_key FROM ev""",
+        "indexed_pulls": f"""WITH {EVENTS} SELECT {TS_US.format('moment')} AS timestamp,
+          CASE WHEN k % 8 <> 0 THEN {ENTITY.format('event_id')} ELSE {ENTITY.format("('insert-' || event_id)")} END AS request_hash,
+          CASE WHEN k % 4 = 0 THEN 'fallback' ELSE {MODULE} END AS module_id, {METHOD} AS method, {STATUS} AS status_code,
+          {RAW_QUERY} AS has_sensitive_query_key FROM ev""",
+        "landed_file_times": f"""WITH {EVENTS} SELECT client, {TS_US.format('min(moment) FILTER (WHERE k % 9 <> 0)')} AS low,
+          {TS_US.format('max(moment) FILTER (WHERE k % 9 <> 0)')} AS high, count(*) AS n_lines, count(*) FILTER (WHERE k % 9 = 0) AS n_untimed
+          FROM ev GROUP BY client""",
         "refused_lines": f"""WITH {EVENTS}, t AS (SELECT k % 10 AS m, CASE k % 10 WHEN 0 THEN event_id || ' {{' WHEN 1 THEN '[' || event_id || ']'
             ELSE '{{"event": ' || event_id || '}}' END AS line FROM ev)
           SELECT CASE WHEN m = 2 THEN 'no timestamp' ELSE 'not one JSON object' END AS reason, {ENTITY.format('line')} AS line_hash, count(*) AS n_lines

@@ -28,7 +28,7 @@ from weirwatch.operators.quantiles import exact_quantile
 from weirwatch.operators.ranking import min_max, normalize_and_rank
 from weirwatch.operators.threat import score_threats, threat_level_counts, threat_score
 from weirwatch.plans import evaluation as ev
-from weirwatch.plans import frequencies, ingest, views
+from weirwatch.plans import frequencies, ingest, landed, views
 from weirwatch.plans.pipeline import METRIC_KEYS, SCENARIO_KEYS, Warehouse, run_pipeline
 from weirwatch.plans.scenarios import scenarios
 from weirwatch.session import ensure_session, materialize, scratch_path
@@ -373,6 +373,38 @@ def incremental_ingest(spark, sf_dir):
     return stored.select(stamp("timestamp", True).alias("timestamp"), *shown)
 
 
+@query
+def indexed_pulls(spark, sf_dir):
+    """Three pulls from a folder in which files of a later time land; each opens the files that reach its mark."""
+    root = scratch_path(spark, "landed")
+    entries = adapter.raw_requests(spark, sf_dir).join(adapter.read_events(spark, sf_dir).select("event_id", "timestamp"), "event_id")
+    entries = materialize(entries, "entries")
+    span = entries.agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b")).first()
+    cuts = [span.a + (span.b - span.a) * part / 3 for part in (1, 2)]
+    moment = F.col("timestamp")
+    for part in (moment <= F.lit(cuts[0]), (moment > F.lit(cuts[0])) & (moment <= F.lit(cuts[1])), moment > F.lit(cuts[1])):
+        entries.where(part).repartitionByRange(4, "timestamp").select("value").write.mode("append").text(f"{root}/in")
+        landed.pull_landed(spark, f"{root}/in", f"{root}/files", f"{root}/logs", f"{root}/state", adapter.SALT, freshness_minutes=None)
+    stored = tables.read_table(spark, f"{root}/logs")
+    shown = ["request_hash", "module_id", "method", "status_code", "has_sensitive_query_key"]
+    return stored.select(stamp("timestamp", True).alias("timestamp"), *shown)
+
+
+@query
+def landed_file_times(spark, sf_dir):
+    """The index of landed files, one file a user: least and greatest entry time and lines, some without a time."""
+    root = scratch_path(spark, "file-times")
+    events = adapter.read_events(spark, sf_dir)
+    moment = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    value = F.to_json(F.struct(F.when(F.col("k") % 9 != 0, moment).alias("timestamp"), "event_id"))
+    lines = events.select("client", value.alias("value"))
+    lines.repartition(F.col("client")).write.partitionBy("client").text(f"{root}/in")
+    landed.refresh_file_times(spark, f"{root}/in/*", f"{root}/files")
+    files = tables.read_table(spark, f"{root}/files")
+    client = F.regexp_extract("file_path", "client=([0-9]+)", 1).cast("bigint").alias("client")
+    return files.select(client, stamp("low", True).alias("low"), stamp("high", True).alias("high"), "n_lines", "n_untimed")
+
+
 @query
 def refused_lines(spark, sf_dir):
     """A stream of files with broken lines, read by two runs: what each refused, and no row without a key twice."""

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from weirwatch.plans import evaluation, ingest, scenarios, views
+from weirwatch.plans import evaluation, ingest, landed, scenarios, views
 from weirwatch.plans.pipeline import Warehouse, run_pipeline, train
 from weirwatch.operators.threat import threat_score
 from weirwatch.operators.window_features import endpoint_rarity, ip_window_features
@@ -134,6 +134,34 @@ def test_mark_and_pull(spark, folder):
     assert ingest.pull_since(entries, None, now=F.lit(datetime(2024, 1, 1, 12, 56))).count() == 1
 
 
+def test_pulls_open_only_files_that_reach_the_mark(spark, folder):
+    import os
+
+    os.mkdir(f"{folder}/in")
+    places = (f"{folder}/in", f"{folder}/files", f"{folder}/logs", f"{folder}/state", "salt")
+    names = lambda since: [p.rsplit("/", 1)[1] for p in landed.files_since(spark, *places[:2], since)]
+    land(f"{folder}/in", "a", [entry(0, 1, "k1"), entry(10, 0, "k2")])
+    land(f"{folder}/in", "b", [entry(27, 0, "k3"), entry(20, 0, "k4")])
+    land(f"{folder}/in", "c", ["", "  "])
+    assert landed.pull_landed(spark, *places, freshness_minutes=None) == 4
+    assert landed.refresh_file_times(spark, *places[:2]) == 0
+    land(f"{folder}/in", "d", [entry(24, 0, "k5"), entry(40, 0, "k6"), entry(1, 0, "too late")])
+    since = ingest.pulled_from(ingest.high_water_mark(spark, places[3], places[2], "requests"), 5, 60, None)
+    assert names(None) == ["a", "b", "c", "d"] and names(since) == ["b", "d"]  # "d" is not indexed yet
+    assert landed.refresh_file_times(spark, *places[:2]) == 1 and names(since) == ["b", "d"]
+    # Entries in the overlap come again and replace themselves; one before it is in no pull's range.
+    assert landed.pull_landed(spark, *places) == 3
+    rows = {r.request_hash: r.timestamp.minute for r in tables.read_table(spark, places[2]).collect()}
+    assert sorted(rows.values()) == [0, 10, 20, 24, 27, 40]
+    # A file that changed counts as new; one without readable times is always opened.
+    land(f"{folder}/in", "a", [entry(50, 0, "k7"), entry(50, 1, "k8"), entry(50, 2, "k9")])
+    land(f"{folder}/in", "e", [json.dumps({"timestamp": "bad"})])
+    assert landed.pull_landed(spark, *places, refused_path=f"{folder}/refused") == 4
+    assert tables.read_table(spark, f"{folder}/refused").count() == 1
+    assert "e" in names(F.lit(datetime(2030, 1, 1))) and names(F.lit(datetime(2030, 1, 1))) == ["e"]
+    assert landed.files_since(spark, places[0], f"{folder}/no-index", since) == sorted(landed.files_since(spark, *places[:2], None))
+
+
 def test_pipeline(spark, folder):
     wh = Warehouse(folder)
     logs = adapter.request_logs(spark, SF_DIR).withColumn("load_order", F.col("timestamp"))

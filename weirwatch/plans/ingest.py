@@ -52,10 +52,11 @@ def pull_since(
     No row limit: one that fell inside the overlap would stop the mark from
     ever moving on.
     """
-    return entries.where(entry_timestamp() >= _since(mark, overlap_minutes, freshness_minutes, now))
+    return entries.where(entry_timestamp() >= pulled_from(mark, overlap_minutes, freshness_minutes, now))
 
 
-def _since(mark: datetime | None, overlap_minutes: int, freshness_minutes: int, now: Column | None) -> Column:
+def pulled_from(mark: datetime | None, overlap_minutes: int, freshness_minutes: int, now: Column | None) -> Column:
+    """The least time of a pull: the mark minus the overlap, without a mark the freshness before ``now``."""
     if mark is not None:
         return F.lit(mark) - F.make_dt_interval(mins=F.lit(overlap_minutes))
     return (F.current_timestamp() if now is None else now) - F.make_dt_interval(mins=F.lit(freshness_minutes))
@@ -117,7 +118,7 @@ def ingest_requests(
     timed = entries.withColumn(MOMENT, entry_timestamp())
     fresh = timed
     if mark is not None or freshness_minutes is not None:
-        fresh = timed.where(F.col(MOMENT) >= _since(mark, overlap_minutes, freshness_minutes, now))
+        fresh = timed.where(F.col(MOMENT) >= pulled_from(mark, overlap_minutes, freshness_minutes, now))
     fresh = materialize(fresh.where(F.col(MOMENT).isNotNull()), "pulled")
     untimed = timed.where(F.col(MOMENT).isNull()).select(hash_entity(F.col("value"), salt).alias("line_hash"))
     if refused_path:
