@@ -724,7 +724,7 @@ def timeline_hourly(spark, sf_dir):
 @query
 def incident_latest_day(spark, sf_dir):
     rows = views.incident(_threats(spark, sf_dir), adapter.request_logs(spark, sf_dir))
-    return _shown_threats(rows.drop("incident_date"))
+    return _shown_threats(rows.withColumn("incident_date", F.col("incident_date").cast("string")))
 
 
 @query

@@ -101,11 +101,12 @@ def endpoint_frequency(logs: DataFrame) -> DataFrame:
 def endpoint_rarity(logs: DataFrame) -> DataFrame:
     """``-ln(share of all rows)`` per template.
 
-    The total is a scalar subquery, so it is one number in the plan and no
-    row is paired with another.
+    The total is a scalar subquery over the frequencies, so it is one number in
+    the plan, no row is paired with another, and one exchange serves both.
     """
-    total = logs.agg(F.count("*").cast("double").alias("n")).scalar()
-    return endpoint_frequency(logs).withColumn(
+    frequency = endpoint_frequency(logs)
+    total = frequency.agg(F.sum("endpoint_count").cast("double").alias("n")).scalar()
+    return frequency.withColumn(
         "endpoint_rarity", -F.log(F.col("endpoint_count") / F.nullif(total, F.lit(0.0)))
     )
 
