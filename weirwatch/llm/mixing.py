@@ -7,8 +7,11 @@ golden-ratio sequence: the place ``frac(slot * phi)`` falls into one source's
 span of the cumulative numbers of slots, so every prefix of the mix is close to
 the targets. The k-th slot of a source takes block k, from the first again when
 all are taken, and its last slot stops at the target's last word, so a source
-gives exactly its target in whole words. A document is taken as often as its
-words' blocks are.
+gives exactly its target in whole words.
+
+The slots joined with the documents' shares of their blocks are the mix: a
+sequence of pieces (:func:`sequence`). What is taken of a document is the sum of
+its pieces, and every prefix of the sequence has the sources near their targets.
 
 Prefix sums run over hash buckets first and inside one bucket then, so a source
 with a third of all rows is spread over all tasks.
@@ -29,7 +32,11 @@ MOST = 2
 BLOCK_WORDS = 256
 LEAST_BLOCKS = 64
 BUCKETS = 4096
-PHI = 0.6180339887498949
+#: Two Fibonacci numbers in a row: their ratio is the golden ratio to 1e-18, and whole numbers keep every bit of a point.
+TURN, CIRCLE = 1_134_903_170, 1_836_311_903
+#: Cells that a lookup of spans has for every source, and blocks that one step of an explode makes.
+CELLS = 4
+STEP = 4096
 SOLID = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -83,17 +90,19 @@ def block_plan(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 def schedule(plan: DataFrame, seed: int = 0) -> DataFrame:
     """slot, source place and the rank of the slot among its source's slots; every source has ``need`` of them.
 
-    The sequence deals a source some slots more or less than it needs. Those
-    beyond go, in order, to the sources that lack some.
+    Slot i has the place ``i * TURN mod CIRCLE`` on a circle, in whole numbers, so
+    no slot is too far on for an exact point; beyond ``CIRCLE`` slots the points
+    come again. The sequence deals a source some slots more or less than it needs.
+    Those beyond go, in order, to the sources that lack some.
     """
     spark = plan.sparkSession
     rising = Window.orderBy("source_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     spans = plan.select("source_place", "need", F.sum("need").over(rising).alias("to")).withColumn("from", F.col("to") - F.col("need"))
-    slots = plan.agg(F.sum("need")).first()[0] or 0
-    offset = (seed * PHI) % 1.0
-    points = spark.range(slots).select(F.col("id").alias("slot"), ((F.lit(offset) + F.col("id") * PHI) % 1.0 * slots).alias("at"))
-    # A point's span: points and span ends in one order would be a sort; spans are few (one a source), so each span filters its own points.
-    grid = 1024
+    slots, sources = plan.agg(F.coalesce(F.sum("need"), F.lit(0)), F.count(F.lit(1))).first()
+    turned = F.pmod(F.col("id") + F.lit(seed), F.lit(CIRCLE)) * F.lit(TURN) % F.lit(CIRCLE)
+    points = spark.range(slots).select(F.col("id").alias("slot"), (turned / F.lit(float(CIRCLE)) * slots).alias("at"))
+    # A point meets the spans of its cell; cells grow in number with the sources, so that few spans share one.
+    grid = max(1024, CELLS * sources)
     cell = lambda x: F.floor(x / max(slots, 1) * grid).cast("long")
     cells = spans.select("*", F.explode(F.sequence(cell(F.col("from")), F.least(cell(F.col("to")), F.lit(grid)))).alias("cell"))
     hit = points.withColumn("cell", cell(F.col("at"))).join(cells, "cell").where("at >= from and at < to").select("slot", "source_place", "need")
@@ -131,21 +140,16 @@ def place_documents(rows: DataFrame, seed: int = 0) -> DataFrame:
     return placed.select(*rows.columns, (F.col("before") + F.col("inner")).alias("first_word"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per row of ``docs``: row, doc_id, source, size, source_size, target, taken, whole, part.
+def _pieces(docs: DataFrame, weights, share: float, most: float, seed: int, block_words: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with their source's target, and the written sequence: slot, place, key, copies, each, begin and end.
 
-    ``taken`` counts the words that the mix takes, repeats included: ``whole``
-    times the document and ``part`` of its words besides, the latter above 0
-    only for a document on the edge of the last round. Null text has no word and
-    is not taken; null is a source of its own. Rows of equal doc_id are ordered
-    by their text's hash; rows equal in both share one place and get one result
-    each. Reruns agree. Other columns are left out.
+    Equal rows are one place with the words of all; ``begin`` and ``end`` are among
+    these, ``each`` is the size of one row.
     """
     rows = stages.texts(docs, "source").select("doc_id", F.col("source").cast("string").alias("source"), word_count().alias("size"), F.xxhash64("text").alias("text_hash"))
     rows = stages.stage(rows, "sizes")
     targets = stages.stage(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "targets")
     plan = stages.stage(block_plan(targets, block_words), "plan")
-    # Equal rows are one place with all their words.
     keyed = rows.withColumn("key", F.struct("doc_id", "text_hash"))
     info = targets.withColumnRenamed("source", "named")
     joined = keyed.join(info, F.expr("source <=> named")).drop("named")
@@ -154,23 +158,61 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     placed = place_documents(places, seed)
     # Written, so that no plan has all of these steps: the driver keeps every version of it that adaptive execution makes.
     placed = stages.stage(placed.where("size > 0").join(plan.select("source_place", "block_words"), "source_place"), "placed")
-    last = F.floor((F.col("first_word") + F.col("size") - 1) / F.col("block_words"))
-    spread = placed.select(
-        "source_place", "key", "first_word", "size", "copies", "block_words", F.explode(F.sequence(F.floor(F.col("first_word") / F.col("block_words")), last)).alias("block")
-    )
-    spread = spread.withColumn("begin", F.greatest(F.col("first_word"), F.col("block") * F.col("block_words")))
-    spread = spread.withColumn("end", F.least(F.col("first_word") + F.col("size"), (F.col("block") + 1) * F.col("block_words")))
-    drawn = schedule(plan, seed).join(plan, "source_place").withColumn("block", F.col("rank") % F.col("blocks"))
-    final = F.col("rank") == F.col("need") - 1
-    drawn = drawn.groupBy("source_place", "block").agg(F.count_if(~final).alias("times"), F.max(F.when(final, F.col("last_end"))).alias("last_end"))
-    got = spread.join(stages.stage(drawn, "drawn"), ["source_place", "block"], "left")
-    words = (F.col("end") - F.col("begin")) * F.coalesce("times", F.lit(0)) + F.greatest(F.lit(0), F.least("end", F.coalesce("last_end", F.lit(0))) - F.col("begin"))
-    got = got.groupBy("source_place", "key").agg(F.sum(words).alias("words_taken"), F.max("copies").alias("copies"))
+    # In two steps, so that no row holds the blocks of a long document or of many copies at once.
+    first, last = F.floor(F.col("first_word") / F.col("block_words")), F.floor((F.col("first_word") + F.col("size") - 1) / F.col("block_words"))
+    spread = placed.withColumn("last", last).withColumn("far", F.explode(F.sequence(first, F.col("last"), F.lit(STEP).cast("long"))))
+    spread = spread.withColumn("block", F.explode(F.sequence(F.col("far"), F.least(F.col("far") + (STEP - 1), F.col("last")))))
+    spread = spread.select(
+        "source_place", "key", "first_word", "copies", (F.col("size") / F.col("copies")).cast("long").alias("each"), "block",
+        F.greatest(F.col("first_word"), F.col("block") * F.col("block_words")).alias("begin"),
+        F.least(F.col("first_word") + F.col("size"), (F.col("block") + 1) * F.col("block_words")).alias("end"),
+    )
+    slots = schedule(plan, seed).join(plan, "source_place").withColumn("block", F.col("rank") % F.col("blocks"))
+    slots = slots.select("source_place", "block", "slot", F.when(F.col("rank") == F.col("need") - 1, F.col("last_end")).alias("stop"))
+    # A block has as many slots as rounds, so neither side of this join is hot.
+    found = spread.join(slots, ["source_place", "block"]).withColumn("end", F.least("end", "stop")).where("end > begin")
+    found = found.select("slot", F.col("source_place").alias("place"), "key", "copies", "each", (F.col("begin") - F.col("first_word")).alias("begin"), (F.col("end") - F.col("first_word")).alias("end"))
+    return joined, stages.stage(found, "sequence")
+
+
+def sequence(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The mix as a sequence: slot, doc_id, text_hash, source, copy, from_word, to_word of every piece.
+
+    A piece is the words ``from_word`` up to ``to_word`` (from 0, end exclusive) of
+    the ``copy``-th (from 0) of the rows that are equal in doc_id, text and source.
+    Reading by slot, then by doc_id, text_hash and copy, gives the mix; all pieces
+    of a slot are of one source and have at most a block's words. Texts without
+    words, null ones too, have no piece; an empty table gives an empty sequence.
+    """
+    joined, pieces = _pieces(docs, weights, share, most, seed, block_words)
+    named = joined.select("place", "source").distinct()
+    copy = F.explode(F.sequence(F.floor(F.col("begin") / F.col("each")), F.floor((F.col("end") - 1) / F.col("each"))))
+    out = pieces.withColumn("copy", copy).join(named, "place")
+    start = F.col("copy") * F.col("each")
+    return out.select(
+        "slot", F.col("key")["doc_id"].alias("doc_id"), F.col("key")["text_hash"].alias("text_hash"), "source", "copy",
+        (F.greatest("begin", start) - start).alias("from_word"), (F.least(F.col("end"), start + F.col("each")) - start).alias("to_word"),
+    )
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """One row per row of ``docs``: doc_id, text_hash, source, size, source_size, target, taken, first_slot, whole, part.
+
+    ``taken`` counts the words that the mix takes, repeats included: ``whole``
+    times the document and ``part`` of its words besides, the latter above 0
+    only for a document on the edge of the last round. ``first_slot`` is the slot
+    in which the mix comes to the document first, null if it is not taken. Null text
+    has no word and is not taken; null is a source of its own. Rows of equal doc_id
+    are ordered by their text's hash; rows equal in both share one place and get one
+    result each. Reruns agree. Other columns are left out.
+    """
+    joined, pieces = _pieces(docs, weights, share, most, seed, block_words)
+    got = pieces.groupBy("place", "key").agg(F.sum(F.col("end") - F.col("begin")).alias("words_taken"), F.max("copies").alias("copies"), F.min("slot").alias("first_slot"))
     # Equal rows share what is taken: each gets the same number, the remainder falls away.
-    got = got.select(F.col("source_place").alias("place"), F.col("key").alias("of"), F.floor(F.col("words_taken") / F.col("copies")).alias("taken"))
-    out = joined.join(got, F.expr("key <=> of") & (joined["place"] == got["place"]), "left")
+    got = got.select(F.col("place").alias("at"), F.col("key").alias("of"), F.floor(F.col("words_taken") / F.col("copies")).alias("taken"), "first_slot")
+    out = joined.join(got, F.expr("key <=> of") & (joined["place"] == got["at"]), "left")
     taken = F.coalesce("taken", F.lit(0)).cast("long")
-    out = out.select("doc_id", "text_hash", "source", "size", F.col("source_size").cast("long").alias("source_size"), "target", taken.alias("taken"))
+    out = out.select("doc_id", "text_hash", "source", "size", F.col("source_size").cast("long").alias("source_size"), "target", taken.alias("taken"), "first_slot")
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(F.lit(0))
     return out.withColumn("whole", whole).withColumn("part", F.col("taken") - F.col("whole") * F.col("size"))
 

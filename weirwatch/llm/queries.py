@@ -51,7 +51,7 @@ def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
