@@ -3,13 +3,16 @@
 Every text is content-addressed by its SHA-256. Three Parquet tables make the
 ledger, all of them only appended to:
 
-``versions``  path (doc_id) and blob of every version ever seen
+``versions``  path (doc_id), blob and run of every version ever seen; runs are
+              numbered from 1 on, a version counts in the run that saw it first
 ``scanned``   blob and rule version of every scan that is complete
 ``findings``  blob, rule, rule version, start and end of every span
 
 A run adds its versions, scans each blob and rule version that is not in
 ``scanned`` once, however many paths or versions have it, appends findings
-before it marks the scans, and joins findings back to paths. A run that broke
+before it marks the scans, and joins findings back to paths: to the paths of
+today (:func:`secrets`) and to those of every version (:func:`history`), so that
+a secret which a later version took out is still reported. A run that broke
 off is repeated; the findings that it left are equal and count once.
 
 Places of matches come from two built-in functions: the matches of a pattern,
@@ -59,7 +62,7 @@ _MAY = {
     "assign": r"(?i)(?:word|passwd|secret|token|key)[\"']?\x20*[:=]",
     "hex": r"[0-9a-f]{24}",
 }
-_BLOB, _SCAN, _FIND = "path long, blob string", "blob string, kind string, version int", "blob string, kind string, version int, start long, end long"
+_BLOB, _SCAN, _FIND = "path long, blob string, run int", "blob string, kind string, version int", "blob string, kind string, version int, start long, end long"
 
 
 def _matches(text, rule: Rule, order: int):
@@ -78,10 +81,12 @@ def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """blob, kind, version, start, end of every span that counts, from (blob, text, todo).
 
     ``todo`` lists the kinds to scan. Matches of one rule are leftmost and don't
-    overlap; those that are too short use up their place all the same.
+    overlap; those that are too short use up their place all the same. Repeated
+    rows of a blob count once.
     """
     found = F.concat(*[F.when(F.array_contains("todo", r.kind), _matches(F.col("text"), r, i)).otherwise(F.array()) for i, r in enumerate(rules)])
-    rows = blobs.select("blob", F.explode(found).alias("m")).select("blob", "m.*")
+    # One exchange for both: a blob that several equal rows bring counts once, and places are running sums.
+    rows = blobs.select("blob", F.explode(found).alias("m")).select("blob", "m.*").repartition("blob", "kind").distinct()
     until = Window.partitionBy("blob", "kind").orderBy("nr").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("end", F.sum(F.col("gap").cast("long") + F.col("size")).over(until)).where("counts")
     kinds = F.array(*[F.struct(F.lit(r.kind).alias("k"), F.lit(r.version).alias("v")) for r in rules])
@@ -102,13 +107,16 @@ def _read(spark: SparkSession, ledger: str, table: str, schema: str) -> DataFram
 def update(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Bring the ledger up to date with ``docs``; returns their (path, blob) rows, repeated rows included.
 
-    Null text is the empty blob.
+    Null text is the empty blob. A version that comes back is no new version. One
+    run at a time may write a ledger.
     """
     spark = docs.sparkSession
     rows = stages.texts(docs).select(F.col("doc_id").alias("path"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
     now = stages.stage(rows.select("path", "blob"), "versions")
     known = _read(spark, ledger, "versions", _BLOB)
-    now.distinct().join(known, F.expr("1 = 1") & now["path"].eqNullSafe(known["path"]) & (now["blob"] == known["blob"]), "left_anti").write.mode("append").parquet(os.path.join(ledger, "versions"))
+    run = (known.agg(F.max("run")).first()[0] or 0) + 1
+    new = now.distinct().join(known, now["path"].eqNullSafe(known["path"]) & (now["blob"] == known["blob"]), "left_anti")
+    new.withColumn("run", F.lit(run)).write.mode("append").parquet(os.path.join(ledger, "versions"))
     wanted = spark.createDataFrame([(r.kind, r.version) for r in rules], "kind string, version int")
     done = _read(spark, ledger, "scanned", _SCAN).join(F.broadcast(wanted), ["kind", "version"])
     done = done.groupBy("blob").agg(F.collect_set("kind").alias("done"))
@@ -128,7 +136,7 @@ def _of_kind(kind: str):
 
 
 def findings_of(paths: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per (path, blob) row: its counts by base kind, the digest of its base spans and the list of all spans."""
+    """One row per row of ``paths`` (path, blob, further columns kept): its counts by base kind, the digest of its base spans and the list of all spans."""
     spark = paths.sparkSession
     order = F.array_position(F.array(*[F.lit(r.kind) for r in rules]), F.col("kind")).cast("int")
     wanted = spark.createDataFrame([(r.kind, r.version) for r in rules], "kind string, version int")
@@ -143,11 +151,26 @@ def findings_of(paths: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES)
     )
     out = paths.join(spans, paths["blob"] == spans["of"], "left")
     return out.select(
-        "path", "blob", *[F.coalesce(f"n_{r.kind}", F.lit(0)).cast("long").alias(f"n_{r.kind}") for r in BASE_RULES],
+        *paths.columns, *[F.coalesce(f"n_{r.kind}", F.lit(0)).cast("long").alias(f"n_{r.kind}") for r in BASE_RULES],
         F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"),
     )
 
 
+def history(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """doc_id, run, current, blob, n_assign, n_access, n_hex, base_sha256, spans of every version of every path in a ledger.
+
+    ``run`` is the run that saw the version first. ``current`` marks a path's
+    latest new version: where a text went back to an earlier one, it is the newer
+    of the two. Versions without a span are listed too; a version is listed once,
+    however often its row was repeated. A ledger that was never written is empty.
+    """
+    versions = _read(spark, ledger, "versions", _BLOB).groupBy("path", "blob").agg(F.min("run").alias("run"))
+    # A run may have seen rows of one path with several texts: all of its latest run are current.
+    latest = versions.groupBy("path").agg(F.max("run").alias("latest")).withColumnRenamed("path", "of_path")
+    versions = versions.join(latest, versions["path"].eqNullSafe(latest["of_path"])).select("path", "blob", "run", (F.col("run") == F.col("latest")).alias("current"))
+    return findings_of(versions, ledger, rules).withColumnRenamed("path", "doc_id")
+
+
 def secrets(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans of every row of ``docs``.
 
