@@ -14,8 +14,10 @@ one shingle, where every shingle is a minimum and nothing is missed.
 Every pair that shares a minimum is checked exactly: the share of the item's
 shingles that the whole document has.
 
-The benchmark is the query set. It goes to the tasks in blocks of at most
-``ITEMS`` items, each of bounded size; documents are never moved.
+The benchmark is the query set. Items of equal text are searched once and joined
+to their ids afterwards. Texts go to the tasks in blocks of about ``ITEMS`` texts
+and ``ITEM_BYTES`` bytes; the driver holds one block at a time, as a block's
+findings are written before the next one is read. Documents are never moved.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from weirwatch.llm import stages
 from weirwatch.llm.words import blocks, distinct, shingle_sets, shingles, text_bytes, word_hashes
 
 PERCENT = 75
-#: Items of one block, and the bytes of their texts, that go to a task at once.
+#: Different items of one block, and the bytes of their texts, that go to a task at once.
 ITEMS = 20_000
 ITEM_BYTES = 32 << 20
 #: Items of fewer shingles are looked up shingle by shingle.
@@ -106,8 +108,8 @@ class ItemIndex:
         return out
 
 
-def _search(index: ItemIndex, ids: list, percent: int):
-    names = ["doc_id", "text_hash", "item_id", "n_shared", "n_item"]
+def _search(index: ItemIndex, digests: list[str], percent: int):
+    names = ["doc_id", "text_hash", "item", "n_shared", "n_item"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,7 +130,8 @@ def _search(index: ItemIndex, ids: list, percent: int):
                         shared.append(both)
                 if doc:
                     sizes = [len(index.sets[i]) for i in item]
-                    columns = [pa.array(x, pa.int64()) for x in (doc, digest, [ids[i] for i in item], shared, sizes)]
+                    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+                    columns = [pa.array(x, k) for x, k in zip((doc, digest, [digests[i] for i in item], shared, sizes), kinds)]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
@@ -145,18 +148,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> Data
     """
     spark = docs.sparkSession
     stages.small_batches(spark)
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    n, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    # Items of equal text are one: their copies can't fill a block.
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text.alias("text")).withColumn("item", F.sha2("text", 256))
+    items = stages.stage(items, "items")
+    different = items.groupBy("item").agg(F.first("text").alias("text"))
+    n, size = different.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     parts = max(-(-n // ITEMS), -(-int(size) // ITEM_BYTES), 1)
     rows = stages.texts(docs).withColumn("text_hash", F.xxhash64("text"))
     out = None
     for part in range(parts):
-        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
+        block = different.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part).collect()
         sets = list(shingle_sets(pa.array([r.text for r in block], pa.string()))) if block else []
-        search = _search(ItemIndex(sets), [r.item_id for r in block], percent)
-        found = rows.mapInArrow(search, "doc_id long, text_hash long, item_id long, n_shared long, n_item long")
+        search = _search(ItemIndex(sets), [r.item for r in block], percent)
+        found = rows.mapInArrow(search, "doc_id long, text_hash long, item string, n_shared long, n_item long")
+        if parts > 1:
+            found = stages.stage(found, "leaks")
         out = found if out is None else out.unionByName(found)
-    return out
+    return out.join(items.select("item", "item_id"), "item").select("doc_id", "text_hash", "item_id", "n_shared", "n_item")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
