@@ -20,6 +20,7 @@ match.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,8 +35,7 @@ from weirwatch.llm.words import blocks
 
 #: About so many labelled rows are learned from, chosen by a hash of doc_id.
 SAMPLE = 20_000
-#: Entries of the lexicon, and evidence (in nats) that each needs.
-ENTRIES = 4_000
+#: Evidence (in nats) that an entry of the lexicon needs.
 EVIDENCE = 14.0
 STEMS = range(4, 9)
 #: Different contexts in toxic texts that an entry needs, however many texts are learned from.
@@ -45,6 +45,10 @@ FUZZY_LENGTH = 5
 WINDOW = 6
 KNOWN_WORDS = 400_000
 
+#: White space between words, as the lexicon's words are counted too.
+SPACE = re.compile(r"[\x20\x09-\x0D]+")
+#: Without a lexicon nothing speaks against a text: its score stays below this.
+NO_EVIDENCE = 0.49
 PUNCTUATION = ".,;:!?\"'()[]{}<>#$%&*|«»“”„‘’…"
 OPENING, CLOSING = "\"'«“„‘", "\"'»”“’"
 REPORTING = frozenset("said says wrote writes called calls quote quoted quotes term word words dit disait écrit mot sagte schrieb nannte wort dijo escribió llamó palabra".split())
@@ -158,7 +162,7 @@ class Matcher:
 
     def matches(self, text: str) -> tuple[list[str], list[tuple[int, int, int]]]:
         """The lower-case tokens of a text, and (place, edits, entry) of each match."""
-        tokens = text.lower().split()
+        tokens = [t for t in SPACE.split(text.lower()) if t]
         distinct = set(tokens)
         seen = self.seen
         for token in distinct:
@@ -240,20 +244,22 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn lexicon and weights. What the driver gets is bounded by ``ENTRIES`` and ``sample``.
+    """Learn lexicon and weights. What the driver gets is bounded by ``sample``: entries, and one row of figures a text.
 
-    Without toxic or without clean rows the lexicon is empty and the score is
-    the share of toxic rows (0 without any row).
+    All terms with enough evidence are candidates, of any length from 3
+    characters on. Without toxic or without clean rows, or where no term has the
+    evidence, the lexicon is empty and the score of every text is the share of
+    toxic rows (0 without any row), but below 0.5: nothing is called toxic
+    without a match.
     """
     spark = docs.sparkSession
     rows = stages.stage(training_rows(docs, labels, sample), "labelled")
     n_toxic, n = rows.agg(F.coalesce(F.sum((F.col("toxic") > 0).cast("long")), F.lit(0)), F.count(F.lit(1))).first()
     if n_toxic in (0, n):
-        share = min(max(n_toxic / n, 1e-3), 1 - 1e-3) if n else 1e-3
-        return Model((), frozenset(), (0.0, 0.0, 0.0, 0.0, float(np.log(share / (1 - share)))))
+        return _without_lexicon(n_toxic / n if n else 0.0)
     p = n_toxic / n
     bare = F.transform(F.split(F.lower("text"), "[\\x20\\x09-\\x0D]+"), lambda w: F.btrim(w, F.lit(PUNCTUATION)))
-    words = rows.select((F.col("toxic") > 0).cast("long").alias("t"), F.explode(F.array_distinct(bare)).alias("w")).where(F.length("w").between(3, 40))
+    words = rows.select((F.col("toxic") > 0).cast("long").alias("t"), F.explode(F.array_distinct(bare)).alias("w")).where(F.length("w") >= 3)
     counts = stages.stage(words.groupBy("w").agg(F.sum("t").alias("a"), F.sum(1 - F.col("t")).alias("b")), "word-counts")
     # A beginning's counts are sums over its words here; matching counts them by text below.
     stems = F.array(*[F.when(F.length("w") > k, F.concat(F.substring("w", 1, k), F.lit("*"))) for k in STEMS])
@@ -261,7 +267,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         counts.select(F.explode(F.array_compact(stems)).alias("term"), "a", "b").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     )
     scored = terms.where("a >= 3").withColumn("e", _evidence(F.col("a"), F.col("b"), p)).where(F.col("e") >= EVIDENCE)
-    loose = [r.term for r in scored.orderBy(F.desc("e"), "term").limit(ENTRIES).collect()]
+    loose = [r.term for r in scored.orderBy(F.desc("e"), "term").collect()]
 
     # Second step: by the words on both sides. Copies of a text and repeated lines give one context, an insult in many texts gives many.
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +275,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         for batch in batches:
             found: set[tuple[int, int, int]] = set()
             for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                tokens = ["", *(t.strip(PUNCTUATION) for t in text.lower().split()), ""]
+                tokens = ["", *(t.strip(PUNCTUATION) for t in SPACE.split(text.lower()) if t), ""]
                 for at, word in enumerate(tokens[1:-1], 1):
                     for e in (word, *(word[:k] + "*" for k in STEMS)):
                         if (i := exact.get(e)) is not None:
@@ -293,6 +299,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             continue  # one longer entry has all that this has
         chosen.append(entry)
 
+    if not chosen:
+        return _without_lexicon(p)
+
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(chosen)
         for batch in batches:
@@ -300,12 +309,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string())], names=["w"])
 
     # A form that one clean text has may be a slip; forms of two are words. So the training rows show how often unknown forms are harmless.
-    known = frozenset(r.w for r in counts.where("b >= 2").select("w").mapInArrow(near, "w string").limit(100 * ENTRIES).collect()) if chosen else frozenset()
+    known = frozenset(r.w for r in counts.where("b >= 2").select("w").mapInArrow(near, "w string").collect())
     table = rows.select("text", "toxic").mapInArrow(_feature_rows(tuple(chosen), known), "x array<double>, toxic int").collect()
     x, y = np.array([r.x for r in table]), np.array([float(r.toxic > 0) for r in table])
     return Model(tuple(chosen), known, tuple(logistic_fit(x, y).tolist()))
 
 
+def _without_lexicon(share: float) -> Model:
+    share = min(max(share, 1e-3), NO_EVIDENCE)
+    return Model((), frozenset(), (0.0, 0.0, 0.0, 0.0, float(np.log(share / (1 - share)))))
+
+
 def _feature_rows(entries: tuple[str, ...], known: frozenset[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(list(entries), known)
