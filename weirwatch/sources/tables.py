@@ -3,8 +3,8 @@
 Every table is a chain of snapshots (``snapshots``): a load writes new folders
 and publishes them in one step. Log tables are partitioned by day and keep an
 index of key hashes to days (``key_index``): an upsert asks it for the days
-that hold incoming keys, rewrites those days and the days of the new rows, and
-neither reads nor touches the others. Where the partition follows from the
+that hold incoming keys, rewrites those days and adds the rows of new keys to
+theirs, and neither reads nor touches the others. Where the partition follows from the
 key, as in derived tables, no index is needed.
 """
 
@@ -119,16 +119,15 @@ def upsert(
         snapshots.publish(spark, old, replace(old, data=data, sides={**old.sides, **sides}))
         return count
 
-    # One value per partition that receives rows or holds their keys: a short list.
-    text = F.col(partition_by).cast("string").alias("part")
-    touched = {r.part for r in incoming.select(text).distinct().collect()}
+    # One value per partition that may hold incoming keys: a short list.
     if indexed:
         wanted = key_index.entries(incoming, keys, partition_by)
         known = materialize(key_index.lookup(spark, old, wanted), "index-hits")
         holding = {r.part for r in known.select("part").distinct().collect()}
         sides[key_index.KIND] = key_index.extended(spark, old, wanted, known)
     else:
-        holding = touched
+        text = F.col(partition_by).cast("string").alias("part")
+        holding = {r.part for r in incoming.select(text).distinct().collect()}
     sides = {**old.sides, **sides}
     if keep == "first":
         # Stored rows never change: only add what is new. Real keys decide, in the partitions that may hold them.
@@ -136,10 +135,11 @@ def upsert(
         new = snapshots.write_data(incoming.join(stored, keys, "left_anti").select(*old.schema.names), path, partition_by)
         snapshots.publish(spark, old, replace(old, data=(*old.data, *new), sides=sides))
         return count
-    touched |= holding
-    merged = merge_rows(snapshots.read(spark, old, touched), incoming, keys, keep)
+    # Only partitions that may hold an incoming key are rewritten; to others, rows of new keys are added.
+    holding &= old.parts()
+    merged = merge_rows(snapshots.read(spark, old, holding), incoming, keys, keep) if holding else incoming
     new = snapshots.write_data(merged, path, partition_by)
-    stay = tuple((folder, part) for folder, part in old.data if part not in touched)
+    stay = tuple((folder, part) for folder, part in old.data if part not in holding)
     snapshots.publish(spark, old, replace(old, data=(*stay, *new), sides=sides))
     return count
 

@@ -56,15 +56,19 @@ def _batch_requests(lines: DataFrame, salt: str) -> tuple[DataFrame, DataFrame]:
     salted hash of the line, how often it was there: lines that are no JSON
     object, and requests without a time that can be read.
     """
-    lines = materialize(lines.where(~is_blank(F.col("value"))).withColumn("scan_id", F.monotonically_increasing_id()), "stream-lines")
-    entries = lines.where(is_json_object(F.col("value")))
-    ordered = entries.select("value", F.struct("modified", "file_path", "block_start", "scan_id").alias("load_order"))
-    rows = materialize(request_rows(ordered, salt, keep=("load_order",)), "stream-batch")
-    untimed = rows.where(F.col("timestamp").isNull()).select(F.col("load_order.scan_id").alias("scan_id"))
-    refused = lines.where(~is_json_object(F.col("value"))).withColumn("reason", F.lit("not one JSON object"))
-    refused = refused.unionByName(lines.join(untimed, "scan_id", "left_semi").withColumn("reason", F.lit("no timestamp")))
-    counted = refused.groupBy("file_path", "modified", "reason", hash_entity(F.col("value"), salt).alias("line_hash"))
-    return rows.where(F.col("timestamp").isNotNull()), counted.agg(F.count(F.lit(1)).alias("n_lines"))
+    # One pass: a line is parsed once, and only what was made of it is stored.
+    lines = lines.where(~is_blank(F.col("value"))).withColumn("scan_id", F.monotonically_increasing_id())
+    order = F.struct("modified", "file_path", "block_start", "scan_id").alias("load_order")
+    lines = lines.select(order, F.col("value").alias("line"), is_json_object(F.col("value")).alias("is_object"))
+    entries = lines.withColumn("value", F.when(F.col("is_object"), F.col("line")))
+    rows = request_rows(entries, salt, keep=("load_order", "line", "is_object"))
+    reason = F.when(~F.col("is_object"), F.lit("not one JSON object")).when(F.col("timestamp").isNull(), F.lit("no timestamp"))
+    rows = rows.withColumn("reason", reason)
+    rows = rows.withColumn("line_hash", F.when(F.col("reason").isNotNull(), hash_entity(F.col("line"), salt)))
+    rows = materialize(rows.drop("line", "is_object"), "stream-batch")
+    refused = rows.where(F.col("reason").isNotNull())
+    counted = refused.groupBy(F.col("load_order.file_path").alias("file_path"), F.col("load_order.modified").alias("modified"), "reason", "line_hash")
+    return rows.where(F.col("reason").isNull()).drop("reason", "line_hash"), counted.agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 def _first_seen(rows: DataFrame, log_path: str, number: int) -> tuple[DataFrame, DataFrame]:
