@@ -16,6 +16,7 @@ from weirwatch.sources.tables import load_request_logs, read_table, table_exists
 
 STATE_KEYS = ["source_name"]
 MOMENT = "_moment"
+LINE_HASH = "_line_hash"
 
 
 def entry_timestamp() -> Column:
@@ -115,19 +116,24 @@ def ingest_requests(
     fail the pull.
     """
     mark = high_water_mark(spark, state_path, log_path, source)
-    timed = entries.withColumn(MOMENT, entry_timestamp())
-    fresh = timed
+    # An exploded list of one: the time is read once, and no filter on it reads the entry again.
+    timed = entries.select("*", F.explode(F.array(entry_timestamp())).alias(MOMENT))
+    moment = F.col(MOMENT)
     if mark is not None or freshness_minutes is not None:
-        fresh = timed.where(F.col(MOMENT) >= pulled_from(mark, overlap_minutes, freshness_minutes, now))
-    fresh = materialize(fresh.where(F.col(MOMENT).isNotNull()), "pulled")
-    untimed = timed.where(F.col(MOMENT).isNull()).select(hash_entity(F.col("value"), salt).alias("line_hash"))
+        timed = timed.where(moment.isNull() | (moment >= pulled_from(mark, overlap_minutes, freshness_minutes, now)))
+    # A pull takes one stretch of a file in order of time: without a new dealing, few tasks would have all its rows.
+    timed = timed.hint("rebalance").withColumn(LINE_HASH, F.when(moment.isNull(), hash_entity(F.col("value"), salt)))
+    # One pass from entries to rows; only what was made of an entry is stored.
+    pulled = materialize(request_rows(timed, salt, keep=("load_order", MOMENT, LINE_HASH)), "pulled")
+    fresh = pulled.where(moment.isNotNull()).drop(LINE_HASH)
+    untimed = pulled.where(moment.isNull()).select(F.col(LINE_HASH).alias("line_hash"))
     if refused_path:
         refused = untimed.groupBy("line_hash").agg(F.count(F.lit(1)).alias("n_lines"))
         named = refused.select(F.lit(source).alias("source_name"), F.lit("no timestamp").alias("reason"), "line_hash", "n_lines")
         upsert(spark, refused_path, named, ["source_name", "reason", "line_hash"])
     elif not untimed.isEmpty():
         raise ValueError("an entry has no timestamp; pull refused")
-    loaded = load_request_logs(spark, request_rows(fresh.drop(MOMENT), salt, keep=("load_order",)), log_path)
+    loaded = load_request_logs(spark, fresh.drop(MOMENT), log_path)
     newest = fresh.agg(F.max(MOMENT).alias("t")).first().t
     save_state(spark, state_path, source, newest, loaded, run_id, raw_path)
     return loaded
