@@ -118,9 +118,9 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np
     return np.concatenate(parts)
 
 
-def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = _BYTE) -> np.ndarray:
     """A 64-bit hash of each range of bytes of a block; ranges may overlap."""
-    return _hash_spans(data, starts, ends, _BYTE)
+    return _hash_spans(data, starts, ends, table)
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
